@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipsieve.llm import ranking, splits, textform
+from clipsieve.llm import overlap, packing, ranking, splits, textform, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,9 +24,15 @@ def queries() -> dict[str, Query]:
         "p4_found": ranking.p4_found,
         "p4_cutoffs": ranking.p4_cutoffs,
         "p5_ranking": ranking.p5_ranking,
+        "p6_found": overlap.p6_found,
+        "p6_report": overlap.p6_report,
         "p7_found": textform.p7_found,
         "p7_normalised": textform.p7_normalised,
         "p7_classes": textform.p7_classes,
+        "p8_ids": tokens.p8_ids,
+        "p8_roundtrip": tokens.p8_roundtrip,
+        "p9_containers": packing.p9_containers,
+        "p9_report": packing.p9_report,
     }
 
 
@@ -55,11 +61,13 @@ cut AS (SELECT source, max(score) AS cutoff, any_value(n) AS n_scored FROM count
 
 
 def _p2() -> str:
-    long = " UNION ALL ".join(f"SELECT coalesce(corpus, '') AS corpus, coalesce(split, '') AS split, '{m}' AS metric, {_measured(m)} AS v FROM clip_result" for m in ranking.METRICS)
+    keys = {"corpus": "corpus", "split": "corpus || '/' || split", "day": "day"}
+    rows = "(SELECT * EXCLUDE (corpus, split), coalesce(corpus, '') AS corpus, coalesce(split, '') AS split, coalesce(strftime(scored_at, '%Y-%m-%d'), '') AS day FROM clip_result)"
+    long = " UNION ALL ".join(f"SELECT '{level}' AS level, {key} AS key, '{m}' AS metric, {_measured(m)} AS v FROM {rows}" for m in ranking.METRICS for level, key in keys.items())
     each = " UNION ALL ".join(
-        f"SELECT corpus, split, metric, {p} AS percent, count(*) AS n, round(quantile_cont(v, {p / 100}), 9) AS value FROM long WHERE v IS NOT NULL GROUP BY ALL" for p in ranking.PERCENTS
+        f"SELECT level, key, metric, {p} AS percent, count(*) AS n, round(quantile_cont(v, {p / 100}), 9) AS value FROM long WHERE v IS NOT NULL GROUP BY ALL" for p in ranking.PERCENTS
     )
-    return f"WITH long AS ({long}) SELECT corpus, split, metric, percent::INTEGER AS percent, n, value FROM ({each})"
+    return f"WITH long AS ({long}) SELECT level, key, metric, percent::INTEGER AS percent, n, value FROM ({each})"
 
 
 def _p5() -> str:

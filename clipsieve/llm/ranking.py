@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clipsieve.llm.base import Sorted, key_of, stored, table
 
 METRICS = ["snr_db", "cer", "duration_s"]
-PERCENTS = [5, 25, 50, 75, 95]
+PERCENTS = [1, 5, 10, 25, 50, 75, 90, 95, 99]
 EPSILON = 0.001
 
 # The stages at which a clip already has the metric, besides clips that passed.
@@ -101,9 +101,12 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact percentiles by corpus and split."""
-    group = ["corpus", "split", "metric"]
-    return percentiles(_long(_results(spark, sf_dir), group[:2], METRICS), group, PERCENTS)
+    """Exact percentiles for each corpus, each split of a corpus, and each day, all by one sort."""
+    slash = F.concat_ws("/", "corpus", "split")
+    levels = {"corpus": F.col("corpus"), "split": slash, "day": F.col("day")}
+    each = F.explode(F.array(*(F.struct(F.lit(level).alias("level"), key.alias("key")) for level, key in levels.items())))
+    values = _long(_results(spark, sf_dir), ["corpus", "split", "day"], METRICS).withColumn("_l", each).select("_l.level", "_l.key", "metric", "value")
+    return percentiles(values, ["level", "key", "metric"], PERCENTS)
 
 
 def p2_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
