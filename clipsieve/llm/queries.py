@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipsieve.llm import overlap, packing, ranking, splits, textform, tokens
+from clipsieve.llm import overlap, packing, ranking, splits, subjects, textform, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,8 @@ def queries() -> dict[str, Query]:
         "p8_roundtrip": tokens.p8_roundtrip,
         "p9_containers": packing.p9_containers,
         "p9_report": packing.p9_report,
+        "p10_found": subjects.p10_found,
+        "p10_composition": subjects.p10_composition,
     }
 
 
