@@ -123,17 +123,20 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 def near_classes(train: DataFrame, held_out: DataFrame) -> DataFrame:
     """(text_a, text_b): each text of ``train(text)`` with each of ``held_out(text)`` within the edit limit."""
 
+    def numbered(texts: DataFrame) -> DataFrame:
+        # small numbers, not hashes: a text has BANDS rows to shuffle
+        return stored(texts.select("text").withColumn("id", F.monotonically_increasing_id()))
+
     def banded(texts: DataFrame) -> DataFrame:
-        rows = texts.select(F.xxhash64("text").alias("id"), "text", F.char_length("text").alias("size"))
-        found = rows.mapInArrow(_bands, "id long, size int, buckets array<int>")
+        found = texts.select("id", "text", F.char_length("text").alias("size")).mapInArrow(_bands, "id long, size int, buckets array<int>")
         return found.select("id", "size", F.posexplode("buckets").alias("band", "bucket"))
 
+    train, held_out = numbered(train), numbered(held_out)
     a, b = banded(train).alias("a"), banded(held_out).alias("b")
     close = F.abs(F.col("a.size") - F.col("b.size")) * 10 <= F.greatest("a.size", "b.size")
     shared = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.bucket") == F.col("b.bucket")) & close)
     pairs = shared.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
-    # a hash may stand for two texts: each is then verified
-    texts = pairs.join(held_out.select(F.xxhash64("text").alias("id_b"), F.col("text").alias("text_b")), "id_b").join(train.select(F.xxhash64("text").alias("id_a"), F.col("text").alias("text_a")), "id_a")
+    texts = pairs.join(held_out.withColumnsRenamed({"id": "id_b", "text": "text_b"}), "id_b").join(train.withColumnsRenamed({"id": "id_a", "text": "text_a"}), "id_a")
     near = texts.withColumn("edits", F.expr("levenshtein(text_a, text_b, cast(greatest(char_length(text_a), char_length(text_b)) div 10 as int))")).filter("edits >= 0")
     return near.filter(similarity("text_a", "text_b") >= LEAST_SIMILARITY - 1e-12).select("text_a", "text_b", "edits")
 
