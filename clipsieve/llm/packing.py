@@ -132,7 +132,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZER)
         merged = stored(bins.select("bin", node, "fill").groupBy("node").applyInPandas(_merge(capacity, level), "bin long, to long, node long, fill long, shut boolean"))
         step = merged.select("bin", "to")
         # where the containers of the first round have come to so far
-        moved = step if moved is None else moved.join(step.withColumnsRenamed({"bin": "to", "to": "next"}), "to", "left").select("bin", F.coalesce("next", "to").alias("to"))
+        moved = step if moved is None else moved.join(step.select(F.col("bin").alias("to"), F.col("to").alias("next")), "to", "left").select("bin", F.coalesce("next", "to").alias("to"))
         bins = merged.filter("not shut").select(F.col("to").alias("bin"), "node", "fill").distinct()
     found = items.select("doc_id", "piece", "start", "size", "bin")
     if moved is not None:
