@@ -1,95 +1,19 @@
-"""What the operators of this subpackage share: keys, stored stages and exact distributed ranks."""
+"""What the operators of this subpackage share."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space, as Java's regular expressions spell it.
-WS = r"[\s\x1c-\x1f\x85\p{Z}]"
-
-_stored: list[tuple[SparkSession, str]] = []
+from clipsieve.operators.tables import Sorted, shared_dir, stored, table
 
+__all__ = ["Sorted", "WS", "key_of", "shared_dir", "stored", "table"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Unicode white space, as Java's regular expressions spell it.
+WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 
 
 def key_of(name: Column) -> Column:
     """A speaker or source for comparison: without letter case and outer white space; null if nothing is left."""
     bare = F.lower(F.regexp_replace(name, f"^{WS}+|{WS}+$", ""))
     return F.nullif(bare, F.lit(""))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext
-        found = context.getCheckpointDir()
-        if not found:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="clipsieve-"))
-            found = context.getCheckpointDir()
-    return found.rstrip("/")
-
-
-def _drop_stored() -> None:
-    for spark, path in _stored:
-        try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001 - the session may be gone
-            pass
-
-
-atexit.register(_drop_stored)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared folder and read back.
-
-    It cuts the lineage like a reliable checkpoint, survives the loss of executors, and is computed once. The tables
-    are deleted when the driver's process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/clipsieve-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _stored.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-class Sorted:
-    """A table in one global order by (group, order), with where each group lies in it.
-
-    The rows are range-partitioned by group and order together, so a group that holds a third of all rows is spread
-    over a third of the partitions, and rows with the same score are still spread by their identifier. ``rows`` has
-    ``_at``, a number that rises within a partition without gaps; ``runs`` has, for each group and partition, the
-    first ``_at``, the number of rows, and the number of the group's rows in earlier partitions (``_before``).
-    ``runs`` has one row for each group plus at most one for each partition.
-    """
-
-    def __init__(self, df: DataFrame, group: list[str], order: list[Column], partitions: int | None = None) -> None:
-        spark = df.sparkSession
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        keys = [*(F.col(g) for g in group), *order]
-        placed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-        self.group = group
-        self.rows = stored(placed.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
-        counts = self.rows.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        self.runs = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-
-    def ranked(self, name: str = "rank") -> DataFrame:
-        """The rows with their rank in their group, from 1."""
-        on = [*self.group, "_part"]
-        return (
-            self.rows.join(self.runs.select(*on, "_first", "_before"), on)
-            .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first") + 1)
-            .drop("_at", "_part", "_first", "_before")
-        )
-
-
