@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clipsieve.operators import batches, records, stats
+from clipsieve.operators.tables import Sorted
+
+SCHEMA = "corpus string, split string, passed boolean, reject_stage string, duration_s double, dnsmos_ovr double, snr_db double, cer double"
+
+
+def verdicts(n: int):
+    pick = random.Random(5)
+    rows = []
+    for i in range(n):
+        ok = pick.random() < 0.6
+        rows.append(("cv" if i % 3 else "ws", f"s{i % 4}", ok, "" if ok else pick.choice(["snr", "cer", "odd"]), 2.0, 3.0, 20.0, 0.25))
+    return rows
+
+
+def test_funnel_merges_like_one_pass(spark):
+    df = spark.createDataFrame(verdicts(500), SCHEMA)
+    whole = {r.corpus: r for r in stats.funnel(df, "corpus").collect()}
+    for r in stats.merged(stats.funnel(df, "corpus", "split"), "corpus").collect():
+        assert r == whole[r.corpus]
+    rolled = stats.rolled_up(df, "corpus", "split").collect()
+    assert sum(r.total for r in rolled if r.level == 0) == 500 == next(r.total for r in rolled if r.level == 3)
+
+
+def test_stage_maps(spark):
+    df = spark.createDataFrame(verdicts(200), SCHEMA)
+    maps = {r.corpus: r.stages for r in stats.stage_map(stats.stage_counts(df, "corpus"), "corpus").collect()}
+    every = {r.reject_stage: r.n for r in stats.stage_counts(df).collect()}
+    pair = spark.createDataFrame([(maps["cv"], maps["ws"])], "a map<string,long>, b map<string,long>")
+    assert pair.select(stats.merged_maps(F.col("a"), F.col("b"))).first()[0] == every
+    assert stats.other_count(df).first().n_other == every["odd"]
+
+
+def test_report(spark):
+    rows = [("cv", "a", True, "", 3600.0, 3.0, 20.0, 0.25)] * 2 + [("cv", "a", False, "snr", None, None, None, None), ("cv", "a", False, "odd", None, None, None, None)]
+    lines = stats.report("cv", spark.createDataFrame(rows, SCHEMA)).split("\n")
+    assert lines[:2] == ["=== CV — Cleaning Report ===", "Total input clips:                 4"]
+    assert "Rejected — SNR too low:            1" in lines and "Rejected — other:                  1" in lines
+    assert "Total PASSED (clean):              2  (50.0% of input)" in lines and "Total hours (clean):              2.00 hours" in lines
+    assert lines[-3:] == ["Average DNSMOS OVR:              3.000", "Average SNR:                      20.0 dB", "Average CER:                     0.250"]
+
+
+def test_empty_report(spark):
+    lines = stats.report("x", spark.createDataFrame([], SCHEMA)).split("\n")
+    assert "Total PASSED (clean):              0  (0.0% of input)" in lines and not any(x.startswith("Average") for x in lines)
+    assert not any("other" in x for x in lines)
+
+
+def test_derived_guards_against_no_pass(spark):
+    r = stats.derived(stats.funnel(spark.createDataFrame([("cv", "a", False, "snr", 1.0, 1.0, 1.0, 1.0)], SCHEMA))).first()
+    assert (r.pass_percent, r.clean_hours, r.mean_cer) == (0.0, 0.0, None)
+
+
+def test_record_source_columns_win(spark):
+    df = spark.createDataFrame([(1.0, "own", "x")], "snr_db double, asr_transcript string, sentence string")
+    out = records.build_record(df, ["asr_transcript", "sentence", "absent"], {"sentence": "snr_db"}, ["snr_db", "asr_transcript"])
+    assert out.columns == ["asr_transcript", "snr_db", "absent"] and tuple(out.first()) == ("own", "x", None)
+
+
+def test_promote(spark):
+    df = spark.createDataFrame([("сайн", 1.0, 2.0)], "human_transcript string, cer double, _fresh double")
+    r = records.promote(df, {"cer": "_fresh"}).first()
+    assert (r.sentence, r.cer, r.clean_cer) == ("сайн", 1.0, 2.0)
+
+
+def test_rejected_cuts_by_character(spark):
+    df = spark.createDataFrame([("a", False, "snr", "r", "ө" * 120), ("b", False, "cer", "r", None), ("c", True, "", "", "x")], "clip_id string, passed boolean, reject_stage string, reject_reason string, ground_truth string")
+    assert [(r.clip_id, r.ground_truth) for r in records.rejected(df).collect()] == [("a", "ө" * 100), ("b", "")]
+
+
+def test_typed_and_zero_filled(spark):
+    from clipsieve.sources.schema import struct
+
+    df = spark.createDataFrame([("1", 2.5, 9)], "a string, b double, extra int")
+    out = records.typed(df, struct({"b": "float", "a": "int", "c": "string"}))
+    assert out.dtypes == [("b", "float"), ("a", "int"), ("c", "string")] and tuple(out.first()) == (2.5, 1, None)
+    z = records.zero_filled(spark.createDataFrame([(False, None, 3.0, None)], "passed boolean, snr_db double, duration_s double, asr_transcript string")).first()
+    assert tuple(z) == (False, 0.0, 0.0, "")
+
+
+@pytest.mark.parametrize("size", [1, 7, 500])
+def test_ordinals(spark, size):
+    rows = [(i, None if i % 11 == 0 else f"s{(i * i) % 3}") for i in range(300)]
+    found = batches.with_ordinals(spark.createDataFrame(rows, "row_id long, split string"), "split", "row_id", size).collect()
+    want = {}
+    for i, s in rows:
+        want.setdefault(s or "", []).append(i)
+    assert {(r.split, r.row_id, r.idx, r.batch_idx) for r in found} == {(s, i, n, n // size) for s, ids in want.items() for n, i in enumerate(ids)}
+
+
+def test_running_passed(spark):
+    rows = [(i, f"s{i % 2}", i % 3 == 0) for i in range(100)]
+    found = {(r.split, r.row_id): (r.idx, r.passed_so_far) for r in batches.running_passed(spark.createDataFrame(rows, "row_id long, split string, passed boolean"), "split", "row_id").collect()}
+    for s in ("s0", "s1"):
+        own, so_far = [r for r in rows if r[1] == s], 0
+        for n, (i, _, ok) in enumerate(own):
+            so_far += ok
+            assert found[s, i] == (n, so_far)
+
+
+def test_latest_batch(spark):
+    def latest(*names):
+        return batches.latest_batch(spark.createDataFrame(list(names), "name string, complete boolean")).first().latest
+
+    assert latest(("batch_000001", True), ("tmp", True), ("batch_backup", True)) == 1
+    assert latest(("batch_000000", True), ("batch_000010", True), ("batch_000002", True)) == 10
+    assert latest(("batch_000003", False)) == -1
+    assert batches.latest_batch(spark.createDataFrame([], "name string, complete boolean")).first().latest == -1
+
+
+def test_sorted_spreads_one_hot_group(spark):
+    """A group with most rows, all of one score, still has exact ranks, and lies in several partitions."""
+    rows = [("hot" if i % 10 else f"k{i}", 1.0, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v double, i long")
+    order = Sorted(df, ["k"], [F.desc("v"), F.col("i")], 8)
+    assert order.runs.filter("k = 'hot'").count() > 4
+    hot = [r.i for r in order.ranked().filter("k = 'hot'").orderBy("rank").collect()]
+    assert hot == [i for k, _, i in rows if k == "hot"]
+
+
+def test_missing_names(spark):
+    a, b = spark.createDataFrame([("x",), ("x",), ("y",)], "s string"), spark.createDataFrame([("y",)], "s string")
+    assert [r.s for r in records.missing_names(a, b).collect()] == ["x"]
