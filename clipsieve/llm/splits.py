@@ -138,29 +138,39 @@ def min_cost_flow(items: list[tuple[int, list[float]]], quotas: list[int]) -> li
 def allocate(bundles: list[tuple[int, int, int]], proportions: dict[str, float]) -> dict[tuple[int, int], list[int]]:
     """How many components of each bundle (size, label, count) go to each split.
 
-    Every bundle first gives each split the whole part of its proportional number of components, which costs nothing.
-    What remains, fewer components of a bundle than there are splits, flows to the splits' remaining quotas of rows; a
-    unit costs the deviation from the bundle's proportion. Flows are rounded to whole components, the largest first,
-    each to the split with most of its flow that has room.
+    Rows flow from the bundles to the splits' quotas of rows. The whole part of a bundle's proportional number of
+    components flows to its split at no cost and elsewhere at cost 1, the deviation from the proportion; each of the
+    remaining components (fewer than there are splits) costs what the bundle's fraction for a split lacks to its largest
+    fraction. Both cost more for large components. So without large components every bundle, and with it every size and label, is divided in proportion, and with them
+    the others make room. Flows are then rounded to whole components, the largest first, each to the split with most
+    of its flow that has room.
     """
-    names = list(proportions)
-    k, total = len(names), sum(size * n for size, _, n in bundles)
+    k, total = len(proportions), sum(size * n for size, _, n in bundles)
     weight = sum(proportions.values())
-    share = [proportions[s] / weight for s in names]
+    share = [p / weight for p in proportions.values()]
     quota = [int(total * p) for p in share]
     quota[max(range(k), key=lambda b: share[b])] += total - sum(quota)
-    made: dict[tuple[int, int], list[int]] = {}
-    rest = []
+    parts: list[tuple[int, int, int, list[float]]] = []
     for size, label, n in sorted(bundles, reverse=True):
         base = [int(n * p + 1e-9) for p in share]
-        made[size, label] = base
-        rest += [(size, label, [1 - (n * p - x) for p, x in zip(share, base, strict=True)])] * (n - sum(base))
-    room = [q - sum(size * made[size, label][b] for size, label, _ in bundles) for b, q in enumerate(quota)]
-    flow = min_cost_flow([(size, cost) for size, _, cost in rest], [max(0, x) for x in room])
-    for (size, label, _), f in sorted(zip(rest, flow, strict=True), key=lambda x: -x[0][0]):
-        b = max(range(k), key=lambda b: (min(f[b], room[b]), room[b]))
-        made[size, label][b] += 1
-        room[b] -= size
+        fraction = [n * p - x for p, x in zip(share, base, strict=True)]
+        # a deviation costs more for a large component, which is hard to place whole: small ones make room
+        large = 1 + 10 * size / total
+        parts += [(size, label, c, [0.0 if b == own else large for b in range(k)]) for own, c in enumerate(base) if c]
+        parts += [(size, label, 1, [(max(fraction) - x) * large for x in fraction])] * (n - sum(base))
+    flow = min_cost_flow([(size * c, cost) for size, _, c, cost in parts], quota)
+    made = {(size, label): [0] * k for size, label, _ in bundles}
+    room = list(quota)
+    for (size, label, c, _), f in zip(parts, flow, strict=True):
+        whole = [x // size for x in f]
+        rest = [x - w * size for x, w in zip(f, whole, strict=True)]
+        room = [r - w * size for r, w in zip(room, whole, strict=True)]
+        for _ in range(c - sum(whole)):
+            b = max(range(k), key=lambda b: (min(rest[b], room[b]), room[b]))
+            whole[b] += 1
+            rest[b] -= size
+            room[b] -= size
+        made[size, label] = [a + w for a, w in zip(made[size, label], whole, strict=True)]
     return made
 
 
