@@ -248,8 +248,8 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_count_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = stats.stage_map(stats.stage_counts(table(spark, sf_dir, "clip_result"), "corpus"), "corpus")
-    a, b = (maps.filter(F.col("corpus") == k).select(F.col("stages").alias(k)) for k in ("cv", "ws"))
-    both = a.join(b, F.lit(True)).select(stats.merged_maps(F.col("cv"), F.col("ws")).alias("m"))
+    of = lambda k: F.first(F.when(F.col("corpus") == k, F.col("stages")), ignorenulls=True)
+    both = maps.agg(stats.merged_maps(of("cv"), of("ws")).alias("m"))
     return both.select(F.explode("m").alias("reject_stage", "n"))
 
 
