@@ -28,11 +28,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):  # noqa: ANN202 - a Java object
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever file system."""
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder if it is there, on whatever file system."""
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
 def _drop_stored() -> None:
     for spark, path in _stored:
         try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone
             pass
 
@@ -53,6 +69,31 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of up to so many rows are broadcast by ``small``.
+FEW = 100_000
+
+
+def small(df: DataFrame, limit: int = FEW) -> DataFrame:
+    """A stored table, to be broadcast if it has at most ``limit`` rows; else Spark chooses how to join it.
+
+    The rows are counted from the files' metadata. The callers' rows are keys and numbers, below 200 bytes each.
+    """
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups``, one row for each key, which says in ``count`` how many rows the key has.
+
+    Keys with more than a thousandth of all rows (fewer than 1,000 keys, whatever the input) are joined by broadcast,
+    the others by shuffle, where no key then holds more than a thousandth. ``count`` isn't kept.
+    """
+    often = F.col(count) * 1000 > total
+    hot = groups.filter(often).drop(count)
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    rest = marked.filter("_hot is null").select(*(c for c in rows.columns)).join(groups.filter(~often).drop(count), key)
+    return marked.filter("_hot").drop("_hot").select(*rest.columns).unionByName(rest)
+
+
 class Sorted:
     """A table in one global order by (group, order), with where each group lies in it.
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import shutil
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from clipsieve.operators.tables import delete, exists
 from clipsieve.plans.policy import DEFAULT, Policy
 from clipsieve.sources.sinks import write_batches
 
@@ -29,7 +28,7 @@ def run(spark: SparkSession, source: str, schema: StructType, place: str, judge:
     the same rows. Without ``resume`` the earlier state is deleted first.
     """
     if not resume:
-        shutil.rmtree(place, ignore_errors=True)
+        delete(spark, place)
     out = f"{place}/verdicts"
 
     def write(batch: DataFrame, index: int) -> None:
@@ -38,6 +37,6 @@ def run(spark: SparkSession, source: str, schema: StructType, place: str, judge:
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).option("pathGlobFilter", pattern).parquet(source)
     query = rows.writeStream.foreachBatch(write).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    if not Path(out).exists() and "://" not in out:
+    if not exists(spark, out):  # no file so far
         return judge(spark.createDataFrame([], schema)).withColumn("batch_idx", F.lit(0))
     return spark.read.parquet(out)

@@ -128,3 +128,24 @@ def test_sorted_spreads_one_hot_group(spark):
 def test_missing_names(spark):
     a, b = spark.createDataFrame([("x",), ("x",), ("y",)], "s string"), spark.createDataFrame([("y",)], "s string")
     assert [r.s for r in records.missing_names(a, b).collect()] == ["x"]
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_join_counted(spark, n):
+    from collections import Counter
+
+    from clipsieve.operators.tables import join_counted
+
+    rows = [("hot" if i % 3 else f"k{i}", i) for i in range(n)]
+    counts = Counter(k for k, _ in rows)
+    groups = spark.createDataFrame([(k, c, k.upper()) for k, c in counts.items() if k != "k3"], "k string, c long, big string")
+    found = join_counted(spark.createDataFrame(rows, "k string, i long"), groups, "k", "c", n)
+    assert sorted(tuple(r) for r in found.collect()) == sorted((k, i, k.upper()) for k, i in rows if k != "k3")
+
+
+def test_small_checks_the_size(spark):
+    from clipsieve.operators.tables import small
+
+    df = spark.createDataFrame([(i,) for i in range(5)], "i int")
+    plans = [df.join(small(df, limit), "i")._jdf.queryExecution().toString() for limit in (5, 4)]
+    assert "ResolvedHint (strategy=broadcast)" in plans[0] and "ResolvedHint" not in plans[1]
