@@ -10,8 +10,8 @@ with probability 1 - (1 - s^ROWS)^BANDS: 0.997 at 0.55, 0.975 at 0.486 (the leas
 
 Recordings are the same if the file in ``path`` is, whatever its folder, extension and letter case.
 
-Defined cases: null, blank and letterless sentences and null or blank paths match nothing; rows of other splits are
-left out; repeated rows each give their own pairs.
+Defined cases: null, blank and letterless sentences and null or blank paths match nothing; rows of other splits
+and rows without a row_id are left out; repeated rows each give their own pairs.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def near_classes(train: DataFrame, held_out: DataFrame) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cv = table(spark, sf_dir, "common_voice").filter(F.col("split").isin("train", *HELD_OUT))
+    cv = table(spark, sf_dir, "common_voice").filter(F.col("row_id").isNotNull() & F.col("split").isin("train", *HELD_OUT))
     form = fit_form(cv.select("sentence"))
     text = comparable(normal_form(F.col("sentence"), form))
     return stored(cv.select("row_id", "split", "segment", recording(F.col("path")).alias("recording"), text.alias("text")))

@@ -7,7 +7,8 @@ tree of further rounds, in which FAN_IN nodes meet in one and the containers are
 full ones being closed. A node passes on at most CARRIED containers, those with most space; it closes the others as
 they are, so a task's memory is bounded whatever the input. Nothing is dropped: closing only ends the search.
 
-Defined cases: null and empty texts have size 0 and go into a container like any other; an empty table gives no rows.
+Defined cases: null and empty texts have size 0 and go into a container like any other; a
+null doc_id stays null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -75,13 +76,13 @@ def closed(fills: np.ndarray, capacity: int) -> np.ndarray:
     return shut
 
 
-def _pieces(ids: np.ndarray, sizes: np.ndarray, capacity: int) -> pd.DataFrame:
-    """doc_id, piece, start, size: full pieces and the rest of each document."""
+def _pieces(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """doc (its place), piece, start and size: full pieces and the rest of each document."""
     n = np.maximum(1, -(-sizes // capacity))
-    doc = np.repeat(np.arange(len(ids)), n)
+    doc = np.repeat(np.arange(len(sizes)), n)
     piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
     start = piece * capacity
-    return pd.DataFrame({"doc_id": ids[doc], "piece": piece, "start": start, "size": np.minimum(sizes[doc] - start, capacity)})
+    return doc, piece, start, np.minimum(sizes[doc] - start, capacity)
 
 
 def _local(capacity: int, path: str):
@@ -89,20 +90,19 @@ def _local(capacity: int, path: str):
         node, tok = TaskContext.get().partitionId(), tokenizer(path)
         ids, sizes = [], []
         for part, texts in portions(batches, 1):
-            ids.append(part.column(0).to_numpy(zero_copy_only=False))
+            ids.append(part.column(0))
             sizes.append(tok.count(texts))
         if not ids:
             return
-        items = _pieces(np.concatenate(ids), np.concatenate(sizes), capacity)
-        whole = (items["size"] == capacity).to_numpy()
-        placed, fills = best_fit(items.loc[~whole, "size"].to_numpy(), capacity)
-        shut = closed(fills, capacity)
-        at = np.empty(len(items), dtype=np.int64)
+        doc, piece, start, size = _pieces(np.concatenate(sizes), capacity)
+        whole = size == capacity
+        placed, fills = best_fit(size[~whole], capacity)
+        at = np.empty(len(size), dtype=np.int64)
         at[~whole], at[whole] = placed, len(fills) + np.arange(whole.sum())
         fill = np.concatenate([fills, np.full(whole.sum(), capacity)])
-        shut = np.concatenate([shut, np.ones(whole.sum(), dtype=bool)])
-        items["bin"], items["node"], items["fill"], items["shut"] = node * NODE + at, node, fill[at], shut[at]
-        yield pa.RecordBatch.from_pandas(items, preserve_index=False)
+        shut = np.concatenate([closed(fills, capacity), np.ones(whole.sum(), dtype=bool)])
+        columns = [pa.concat_arrays(ids).take(pa.array(doc)), piece, start, size, node * NODE + at, np.full(len(size), node), fill[at], shut[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["doc_id", "piece", "start", "size", "bin", "node", "fill", "shut"])
 
     return run
 

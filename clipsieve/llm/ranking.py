@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipsieve.llm.base import Sorted, key_of, stored, table
+from clipsieve.llm.base import Sorted, key_of, small, stored, table
 
 METRICS = ["snr_db", "cer", "duration_s"]
 PERCENTS = [1, 5, 10, 25, 50, 75, 90, 95, 99]
@@ -132,7 +132,8 @@ def over_cap(rows: DataFrame, contributor: str, quality: str, identifier: str, c
     contributor are not limited.
     """
     named = rows.filter(F.col(contributor).isNotNull())
-    many = named.groupBy(contributor).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cap).select(contributor)
+    # fewer than rows / cap contributors
+    many = small(stored(named.groupBy(contributor).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cap).select(contributor)))
     score = F.col(quality).cast("double")
     blank = score.isNull() | F.isnan(score)
     limited = named.join(many, contributor).withColumn("_blank", blank).withColumn("_score", F.when(~blank, -score))
@@ -188,14 +189,14 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source's cutoff that keeps four fifths of its scored segments, with the number kept."""
     scored = _scored(spark, sf_dir)
-    kept = scored.join(cutoffs(scored, "source", "score"), "source").groupBy("source", "cutoff", "n_scored")
+    kept = scored.join(small(cutoffs(scored, "source", "score")), "source").groupBy("source", "cutoff", "n_scored")
     return kept.agg(F.sum((F.col("score") >= F.col("cutoff")).cast("long")).alias("n_kept"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored segments below their source's cutoff."""
     scored = _scored(spark, sf_dir)
-    return scored.join(cutoffs(scored, "source", "score"), "source").filter("score < cutoff").select("ws_id")
+    return scored.join(small(cutoffs(scored, "source", "score")), "source").filter("score < cutoff").select("ws_id")
 
 
 # ---------------------------------------------------------------- problem 5
@@ -210,7 +211,8 @@ def borda(rows: DataFrame, identifier: str, scores: dict[str, tuple[Column, bool
 
     Ranks come from the distinct values with their counts, in one global sort; each value's points go back to its rows
     by a join. A value shared by more than one row in 1,000 is joined by broadcast (there are at most 1,000 such values
-    of a score), the others by shuffle, where no key then holds more than a thousandth of the rows.
+    of a score), the others by shuffle, where no key then holds more than a thousandth of the rows. Rows with the same
+    identifier share their best points, each with a rank of its own.
     """
     names = list(scores)
     pairs = F.explode(F.array(*(F.struct(F.lit(i).alias("score"), scores[m][0].alias("value")) for i, m in enumerate(names))))

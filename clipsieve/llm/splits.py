@@ -7,7 +7,7 @@ sizes for each label, whatever the input, and only they reach the driver. There
 quotas, and the members of a bundle are assigned by the rank of their hash.
 
 Defined cases: a null or blank speaker is no speaker, a null sentence or one without letters and digits is no
-sentence; a row with neither is a component of its own. An empty table gives an empty result.
+sentence; a row with neither is a component of its own (rows without a row_id share one). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipsieve.llm.base import Sorted, key_of, stored, table
+from clipsieve.llm.base import Sorted, join_counted, key_of, small, stored, table
 from clipsieve.llm.textform import fit_form, normal_form
 
 PROPORTIONS = {"train": 0.8, "dev": 0.1, "test": 0.1}
@@ -69,7 +69,8 @@ def speaker_roots(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
 def components(readings: DataFrame) -> DataFrame:
     """row_id, label, component. A component is named by its least speaker, or its sentence, or its only row."""
     roots, first = speaker_roots(readings)
-    spoken = readings.filter("speaker is not null").join(roots, "speaker", "left")
+    # a speaker may have a third of the rows; the roots are few enough to broadcast in most corpora
+    spoken = readings.filter("speaker is not null").join(small(roots), "speaker", "left")
     silent = readings.filter("speaker is null")
     # rows of nobody hang on their sentence's component; a row without a sentence is alone
     joined = silent.filter("sentence is not null").join(first, "sentence", "left").join(roots.withColumnRenamed("speaker", "first"), "first", "left")
@@ -77,7 +78,7 @@ def components(readings: DataFrame) -> DataFrame:
     return (
         spoken.select("row_id", "label", F.concat(F.lit("k:"), F.coalesce("root", "speaker")).alias("component"))
         .union(joined.select("row_id", "label", F.coalesce(F.concat(F.lit("k:"), F.coalesce("root", "first")), F.concat(F.lit("s:"), F.md5("sentence")))))
-        .union(alone.select("row_id", "label", F.concat(F.lit("r:"), F.col("row_id").cast("string"))))
+        .union(alone.select("row_id", "label", F.concat(F.lit("r:"), F.coalesce(F.col("row_id").cast("string"), F.lit("")))))
     )
 
 
@@ -193,8 +194,8 @@ def p1_split(spark: SparkSession, sf_dir: str, proportions: dict[str, float] | N
             at += n
     cut = spark.createDataFrame(cuts, "size long, profile int, low long, high long, new_split string")
     ranked = Sorted(groups.withColumn("_h", F.xxhash64("component")), ["size", "profile"], [F.col("_h"), F.col("component")]).ranked("_rank")
-    placed = ranked.join(cut, ["size", "profile"]).filter("_rank > low and _rank <= high").select("component", "new_split")
-    return rows.join(placed, "component").select("row_id", F.col("new_split"))
+    placed = ranked.join(cut, ["size", "profile"]).filter("_rank > low and _rank <= high").select("component", "size", "new_split")
+    return join_counted(rows.select("component", "row_id"), stored(placed), "component", "size", rows.count()).select("row_id", "new_split")
 
 
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:

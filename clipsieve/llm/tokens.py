@@ -32,11 +32,13 @@ WORDS_AT_ONCE = 8_000
 WORDS_KEPT = 500_000
 CHARS_AT_ONCE = 500_000
 
+# The table keeps the last token of each place, -1 where a token was joined to the one before; a round reads the words
+# that changed in the round before (state) from the whole (recurring.state).
 _CONTRACT = """
-WITH RECURSIVE state AS (
-  SELECT w, pos, tok, 0 AS step FROM bytes_in
+WITH RECURSIVE state(w, pos, tok) USING KEY (w, pos) AS (
+  SELECT w, pos, tok FROM bytes_in
   UNION ALL
-  SELECT w, pos, CASE WHEN take THEN c ELSE tok END AS tok, step + 1
+  SELECT w, pos, CASE WHEN gone THEN -1 WHEN take THEN c ELSE tok END AS tok
   FROM (
     SELECT *, coalesce(lag(take) OVER (PARTITION BY w ORDER BY pos), false) AS gone
     FROM (
@@ -47,12 +49,12 @@ WITH RECURSIVE state AS (
           SELECT *, coalesce(rank = best, false) AS hit
           FROM (
             SELECT p.*, m.rank, m.c, min(m.rank) OVER (PARTITION BY p.w) AS best
-            FROM (SELECT w, pos, tok, step, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS following FROM state) p
+            FROM (
+              SELECT w, pos, tok, lead(tok) OVER (PARTITION BY w ORDER BY pos) AS following
+              FROM recurring.state WHERE tok >= 0 AND w IN (SELECT w FROM state)) p
             LEFT JOIN merges m ON m.a = p.tok AND m.b = p.following)
-          WHERE best IS NOT NULL))))
-  WHERE NOT gone)
-SELECT w, list(tok ORDER BY pos) AS ids
-FROM (SELECT *, max(step) OVER (PARTITION BY w) AS last FROM state) WHERE step = last GROUP BY w ORDER BY w
+          WHERE best IS NOT NULL)))))
+SELECT w, list(tok ORDER BY pos) AS ids FROM state WHERE tok >= 0 GROUP BY w ORDER BY w
 """
 
 
