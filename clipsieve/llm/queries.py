@@ -72,6 +72,23 @@ def _p2() -> str:
     return f"WITH long AS ({long}) SELECT level, key, metric, percent::INTEGER AS percent, n, value FROM ({each})"
 
 
+def _p2_summaries() -> str:
+    rows = "(SELECT * EXCLUDE (corpus), coalesce(corpus, '') AS corpus, coalesce(strftime(scored_at, '%Y-%m-%d'), '') AS day FROM clip_result)"
+    long = " UNION ALL ".join(f"SELECT corpus, day, '{m}' AS metric, {_measured(m)} AS value FROM {rows}" for m in ranking.METRICS)
+    return f"""WITH long AS ({long}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY corpus, day, metric ORDER BY value) AS r, count(*) OVER (PARTITION BY corpus, day, metric) AS n FROM long WHERE value IS NOT NULL),
+    stepped AS (SELECT *, greatest(1, floor(n * {ranking.EPSILON}::DOUBLE))::BIGINT AS step FROM ranked),
+    points AS (SELECT corpus, day, metric, value, CASE WHEN r % step = 0 THEN step ELSE n % step END AS weight, step FROM stepped WHERE r % step = 0 OR r = n)"""
+
+
+def _p2_combined() -> str:
+    percents = ", ".join(f"({p})" for p in ranking.PERCENTS)
+    return f"""{_p2_summaries()},
+    reached AS (SELECT corpus, metric, value, sum(weight) OVER (PARTITION BY corpus, metric ORDER BY value) AS upto, sum(weight) OVER (PARTITION BY corpus, metric) AS n FROM points),
+    wanted AS (SELECT *, greatest(1, (n * p + 99) // 100) AS target FROM reached, (VALUES {percents}) t(p))
+    SELECT corpus, metric, p::INTEGER AS percent, any_value(n)::BIGINT AS n, min(value) AS value FROM wanted WHERE upto >= target GROUP BY corpus, metric, p"""
+
+
 def _p5() -> str:
     parts = []
     for m, lower in ranking.SCORES:
@@ -88,6 +105,8 @@ def _p5() -> str:
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_percentiles": _p2(),
+        "p2_summaries": _p2_summaries() + " SELECT * FROM points",
+        "p2_combined": _p2_combined(),
         "p3_found": _P3 + "SELECT row_id FROM found",
         "p3_kept": _P3 + "SELECT row_id FROM common_voice WHERE row_id NOT IN (SELECT row_id FROM found)",
         "p4_found": _P4 + "SELECT ws_id FROM scored JOIN cut USING (source) WHERE score < cutoff",
