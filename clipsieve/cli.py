@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from clipsieve import ship
 from clipsieve.plans import pipeline
 from clipsieve.plans.policy import DEFAULT
 from clipsieve.sources import readers, sinks
@@ -42,6 +43,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> di
     readers.load_settings(".env")
     options = parse(args)
     spark = spark or SparkSession.builder.appName("clipsieve").getOrCreate()
+    ship(spark)
     reports = {}
     for key in corpora(options.datasets):
         place = Path(options.out) / f"{key}_{DEFAULT.version}"
