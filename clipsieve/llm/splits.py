@@ -202,7 +202,7 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and speakers of each new split, with the share reached."""
     n = p1_split(spark, sf_dir).groupBy("new_split").agg(F.count(F.lit(1)).alias("n_rows"))
     # one row for each split
-    return n.withColumn("share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()))
+    return n.withColumn("share", F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy(F.lit(1))))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
