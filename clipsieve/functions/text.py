@@ -14,20 +14,26 @@ from pyspark.sql.types import StringType
 
 #: White space as the reference's language defines it, in Java's notation.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
-#: Characters that aren't letters, digits, underscores, white space, or of the Mongolian and Cyrillic blocks.
-_OTHER = r"[^\x{1800}-\x{18AF}\x{0400}-\x{04FF}\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
+#: Characters that aren't letters, digits, underscores, white space, or of the Mongolian and Cyrillic blocks. The usual
+#: ones come first, where a class is decided soonest.
+_OTHER = r"[^\x{0400}-\x{04FF} a-z0-9\x{1800}-\x{18AF}\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]"
+#: White space that isn't a single plain space.
+_UNEVEN = r"[\s\x1c-\x1f\x85\p{Z}]{2,}|[\s\x1c-\x1f\x85\p{Z}&&[^ ]]"
 #: A text of other characters than these may need composition; below U+0300 nothing does.
 _MAY_COMPOSE = r"[^\x{0000}-\x{02FF}\x{0400}-\x{0482}\x{048A}-\x{052F}\x{1800}-\x{1884}\x{2000}-\x{206F}]"
 
 
-def nfc(text: Column) -> Column:
-    """Unicode composition (NFC). Only texts that may need it go to Python, in Arrow batches."""
+def nfc(text: Column, raw: Column | None = None) -> Column:
+    """Unicode composition (NFC). Only texts that may need it go to Python, in Arrow batches.
+
+    Whether a text may need it is read from ``raw`` if given: the text before changes that can't bring in marks.
+    """
 
     @F.arrow_udf(StringType())
     def composed(batch: pa.Array) -> pa.Array:
         return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in batch.to_pylist()], pa.string())
 
-    needed = text.rlike(_MAY_COMPOSE)
+    needed = (text if raw is None else raw).rlike(_MAY_COMPOSE)
     return F.when(needed, composed(F.when(needed, text))).otherwise(text)
 
 
@@ -37,14 +43,19 @@ def strip(text: Column) -> Column:
 
 
 def normalise(text: Column) -> Column:
-    """Lower case, composed, letters and digits only, single spaces."""
-    kept = F.regexp_replace(nfc(strip(F.lower(text))), _OTHER, "")
-    return strip(F.regexp_replace(kept, f"{SPACE}+", " "))
+    """Lower case, composed, letters and digits only, single spaces.
+
+    White space at the ends needs no step of its own before composition, as it never composes with a mark.
+    """
+    # the one mark that lower case brings in, on the dotted capital I, never composes
+    kept = F.regexp_replace(nfc(F.lower(text), text), _OTHER, "")
+    return F.trim(F.regexp_replace(kept, _UNEVEN, " "))
 
 
 def cer(truth: Column, heard: Column) -> Column:
     """Character error rate of normalised texts: edits over the truth's length; 1 for an empty truth."""
-    return F.when(F.char_length(truth) == 0, F.lit(1.0)).otherwise(F.levenshtein(truth, heard) / F.greatest(F.char_length(truth), F.lit(1)))
+    edits = F.when(truth == heard, F.lit(0)).otherwise(F.levenshtein(truth, heard))
+    return F.when(F.char_length(truth) == 0, F.lit(1.0)).otherwise(edits / F.greatest(F.char_length(truth), F.lit(1)))
 
 
 def length_ratio(truth: Column, heard: Column) -> Column:

@@ -78,11 +78,20 @@ def verdict(gates: list[Gate]) -> tuple[Column, Column]:
     return stage, reason
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed once for each row, whatever is read from them.
+
+    As the output of a generator of one row, they can't be merged into the conditions and projections above, where each
+    mention would compute them again.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(x.alias(name) for name, x in columns.items())))))
+
+
 def reading(df: DataFrame, truth: str, heard: str) -> DataFrame:
     """Adds norm_truth, norm_heard, reading_cer and reading_ratio. Null texts count as empty."""
-    texts = df.withColumns({"norm_truth": normalise(F.coalesce(F.col(truth), F.lit(""))), "norm_heard": normalise(F.coalesce(F.col(heard), F.lit("")))})
+    texts = computed(df, {"norm_truth": normalise(F.coalesce(F.col(truth), F.lit(""))), "norm_heard": normalise(F.coalesce(F.col(heard), F.lit("")))})
     a, b = F.col("norm_truth"), F.col("norm_heard")
-    return texts.withColumns({"reading_cer": cer(a, b), "reading_ratio": F.when(a == "", F.lit(0.0)).otherwise(length_ratio(a, b))})
+    return computed(texts, {"reading_cer": cer(a, b), "reading_ratio": F.when(a == "", F.lit(0.0)).otherwise(length_ratio(a, b))})
 
 
 def judge(df: DataFrame, policy: Policy = DEFAULT) -> DataFrame:

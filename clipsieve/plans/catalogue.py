@@ -40,16 +40,20 @@ def _wave64(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("clip"), F.col("embedding").cast("array<double>").alias("pcm"))
 
 
-def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for key, spec in SPECS.items():
         rows = table(spark, sf_dir, TABLES[key])
         parts.append(rows.select(F.lit(key).alias("corpus"), F.col(spec.row_key).alias("row_key"), F.col(spec.text).alias("truth"), F.col(spec.scores["asr_transcript"]).alias("heard")))
-    return gates.reading(records.union_batches(*parts), "truth", "heard")
+    return records.union_batches(*parts)
+
+
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.reading(_texts(spark, sf_dir), "truth", "heard")
 
 
 def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _readings(spark, sf_dir).select("corpus", "row_key", F.when(F.col("truth").isNotNull(), F.col("norm_truth")).alias("norm"))
+    return _texts(spark, sf_dir).select("corpus", "row_key", text.normalise(F.col("truth")).alias("norm"))
 
 
 def char_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
