@@ -8,8 +8,8 @@ The form: Mongolian words have Cyrillic letters only; a letter and its mark are
 full-width and half-width forms are normal; every space is U+0020 and every hyphen U+002D; nothing invisible is left,
 except the vowel separator, variation selectors and joiners inside a word of Mongolian script, where they are
 orthography. Words with a Latin letter that has no Cyrillic look-alike are Latin words. A word of look-alikes only is
-Mongolian, unless the corpus uses its Latin spelling more often than the Cyrillic one and for at least one in 100,000
-of its words (so at most 100,000 such words can exist, which bounds what is sent to the executors).
+Mongolian, unless the corpus uses its Latin spelling more often than the Cyrillic one, at least 20 times, and for at
+least one in 100,000 of its words (so at most 100,000 such words can exist, which bounds what is sent to the executors).
 
 Null stays null, the empty text stays empty; a text without letters is rewritten like any other. Letter case,
 quotation marks, dashes, runs of plain spaces and marks without a composed letter are left alone.
@@ -62,7 +62,7 @@ HYPHENS = "-‐‑⁃﹣－"
 UNSEEN = "͏ᅟᅠ឴឵ㅤﾠ"
 WORD_OF_SCRIPT = "᠋᠌᠍᠎᠏‌‍"
 
-LEAST_SHARE = 100_000
+LEAST_SHARE, LEAST_USES = 100_000, 20
 #: A text of these characters alone is in the form already.
 PLAIN = r"[^\x20-\x40\x5B-\x60\x7B-\x7Eа-яА-ЯёЁөӨүҮ«»]"
 
@@ -303,7 +303,7 @@ def fit_form(*texts: DataFrame) -> Form:
     usage = stored(column.mapInArrow(_usage, "kind string, item string, n long").groupBy("kind", "item").agg(F.sum("n").alias("n")))
     codes = {r.item: r.n for r in usage.filter("kind = 'c'").collect()}
     words = sum(r.n for r in usage.filter("kind = 'n'").collect())
-    latin = {r.item: r.n for r in usage.filter((F.col("kind") == "w") & (F.col("n") * LEAST_SHARE >= words)).collect()}
+    latin = {r.item: r.n for r in usage.filter((F.col("kind") == "w") & (F.col("n") >= LEAST_USES) & (F.col("n") * LEAST_SHARE >= words)).collect()}
     if latin:
         rules = Form(codes)
         twin = {w: rules(w) for w in latin}

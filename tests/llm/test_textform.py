@@ -97,10 +97,10 @@ def test_queries(spark, tables):
 
 
 def test_genuine_latin_word_of_look_alikes(spark, tables):
-    """Used often, and more often than its Cyrillic twin: a Latin word."""
-    d = tables_of(tables, ["TOP үг"] * 50 + ["ТОР үг"] * 3 + ["xaxa үг"] * 2 + ["хаха үг"] * 9)
+    """Used often, and more often than its Cyrillic twin: a Latin word. Seldom used, it is taken for Mongolian."""
+    d = tables_of(tables, ["TOP үг"] * 50 + ["ТОР үг"] * 3 + ["xaxa үг"] * 2 + ["хаха үг"] * 9 + ["xopeo"])
     found = {r.row_key for r in textform.p7_found(spark, d).collect()}
-    assert found == {53, 54}
+    assert found == {53, 54, 64}
 
 
 def test_empty_tables(spark, tables):
