@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from clipsieve.plans.policy import DEFAULT
 
-# What is published under which name.
+#: Under which name, and with which title, a corpus is written.
 TARGETS = {
-    "cv": ("common-voices-25-mn", "Initial upload: cleaned Common Voice 25 Mongolian"),
-    "fleurs": ("fleurs-mn", "Initial upload: cleaned FLEURS Mongolian"),
-    "ws": ("worldspeech-mn", "Initial upload: cleaned WorldSpeech Mongolian"),
+    "cv": ("common_voice_clean", "Cleaned Common Voice clips"),
+    "fleurs": ("fleurs_clean", "Cleaned FLEURS clips"),
+    "ws": ("worldspeech_clean", "Cleaned WorldSpeech clips"),
 }
 
 

@@ -20,7 +20,7 @@ def test_main_resumes(spark, tables, tmp_path, monkeypatch):
     first = cli.main([d, out, "--datasets", "cv"], spark)
     assert "Total input clips:                 3" in first["cv"]
     place = next((tmp_path / "out").iterdir())
-    assert spark.read.parquet(str(place / "common-voices-25-mn" / "data")).count() == 2
+    assert spark.read.parquet(str(place / "common_voice_clean" / "data")).count() == 2
     tables(common_voice=(rows[:1], f"row_id long, split string, path string, sentence string, {metrics}"))
     assert cli.main([d, out, "--datasets", "cv"], spark) == first
     assert "Total input clips:                 1" in cli.main([d, out, "--datasets", "cv", "--no-resume"], spark)["cv"]
