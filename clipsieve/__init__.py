@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="clipsieve-code-")) / "clipsieve.zip"
+    folder = tempfile.mkdtemp(prefix="clipsieve-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "clipsieve.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f"{root.name}/{f.relative_to(root)}")

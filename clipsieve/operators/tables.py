@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _stored: list[tuple[SparkSession, str]] = []
+_own: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
         context = spark.sparkContext
         found = context.getCheckpointDir()
         if not found:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="clipsieve-"))
+            _own.append(tempfile.mkdtemp(prefix="clipsieve-"))
+            context.setCheckpointDir(_own[-1])
             found = context.getCheckpointDir()
     return found.rstrip("/")
 
@@ -51,6 +54,8 @@ def _drop_stored() -> None:
             delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone
             pass
+    for path in _own:
+        shutil.rmtree(path, ignore_errors=True)
 
 
 atexit.register(_drop_stored)
