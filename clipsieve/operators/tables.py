@@ -74,6 +74,20 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A table in fewer partitions than cores is spread over up to so many.
+SPREAD = 32
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over enough partitions for work that is heavy for each row.
+
+    A small file is one partition, however many cores there are. Tables in many partitions stay as they are, so large
+    ones aren't shuffled.
+    """
+    enough = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD)
+    return df.repartition(enough) if df.rdd.getNumPartitions() < enough else df
+
+
 #: Tables of up to so many rows are broadcast by ``small``.
 FEW = 100_000
 

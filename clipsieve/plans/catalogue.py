@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clipsieve.functions import signal, text
 from clipsieve.operators import batches, gates, records, stats
-from clipsieve.operators.tables import shared_dir, table
+from clipsieve.operators.tables import shared_dir, spread, table
 from clipsieve.plans import pipeline
 from clipsieve.plans.policy import DEFAULT
 from clipsieve.sources import readers, sinks
@@ -44,7 +44,8 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for key, spec in SPECS.items():
         rows = table(spark, sf_dir, TABLES[key])
-        parts.append(rows.select(F.lit(key).alias("corpus"), F.col(spec.row_key).alias("row_key"), F.col(spec.text).alias("truth"), F.col(spec.scores["asr_transcript"]).alias("heard")))
+        kept = rows.select(F.col(spec.row_key).alias("row_key"), F.col(spec.text).alias("truth"), F.col(spec.scores["asr_transcript"]).alias("heard"))
+        parts.append(spread(kept).withColumn("corpus", F.lit(key)))
     return records.union_batches(*parts)
 
 

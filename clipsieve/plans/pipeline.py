@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from clipsieve.functions import signal
 from clipsieve.operators import gates, records, scorers, stats
 from clipsieve.operators.batches import with_ordinals
-from clipsieve.operators.tables import stored, table
+from clipsieve.operators.tables import spread, stored, table
 from clipsieve.plans.policy import DEFAULT, Policy
 from clipsieve.sources.audio import resampled
 from clipsieve.sources.readers import prefiltered
@@ -40,7 +40,7 @@ def scored(rows: DataFrame, spec: CorpusSpec, policy: Policy = DEFAULT) -> DataF
 
 def judged(rows: DataFrame, spec: CorpusSpec, policy: Policy = DEFAULT) -> DataFrame:
     """Verdicts on rows with scores: corpus, split, clip_id and all columns."""
-    read = gates.reading(scored(rows, spec, policy), "ground_truth", "asr_transcript")
+    read = gates.reading(spread(scored(rows, spec, policy)), "ground_truth", "asr_transcript")
     found = gates.judge(read, policy)
     id_columns = {"path", "id"} & set(found.columns)
     own = F.col("segment_id") if "segment_id" in found.columns else None
