@@ -63,8 +63,8 @@ UNSEEN = "͏ᅟᅠ឴឵ㅤﾠ"
 WORD_OF_SCRIPT = "᠋᠌᠍᠎᠏‌‍"
 
 LEAST_SHARE, LEAST_USES = 100_000, 20
-#: A text of these characters alone is in the form already.
-PLAIN = r"[^\x20-\x40\x5B-\x60\x7B-\x7Eа-яА-ЯёЁөӨүҮ«»]"
+#: A text without any of these, which are all but plain punctuation, digits and Mongolian letters, is in the form already.
+UNUSUAL = r"[\x00-\x1FA-Za-z\x7F-\xAA\xAC-\xBA\xBC-\x{0400}\x{0402}-\x{040F}\x{0450}\x{0452}-\x{04AD}\x{04B0}-\x{04E7}\x{04EA}-\x{10FFFF}]"
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 _ODD = regex.compile(r"[^\x20-\x7Eа-яА-ЯёЁөӨүҮ«»]|[A-Za-z]")
@@ -253,7 +253,7 @@ def normal_form(text: Column, form: Form) -> Column:
     def rewritten(batch: pa.Array) -> pa.Array:
         return pa.array([None if t is None else form(t) for t in batch.to_pylist()], pa.string())
 
-    odd = text.rlike(PLAIN)
+    odd = text.rlike(UNUSUAL)
     return F.when(odd, rewritten(F.when(odd, text))).otherwise(text)
 
 
@@ -342,7 +342,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that are not in the consistent form."""
     found = fields(spark, sf_dir)
     form = fit_form(found.select("text"))
-    changed = found.filter(F.col("text").rlike(PLAIN)).withColumn("form", normal_form(F.col("text"), form))
+    changed = found.filter(F.col("text").rlike(UNUSUAL)).withColumn("form", normal_form(F.col("text"), form))
     return changed.filter(F.col("form") != F.col("text")).select("table_name", "column_name", "row_key")
 
 
