@@ -8,8 +8,9 @@ The form: Mongolian words have Cyrillic letters only; a letter and its mark are
 full-width and half-width forms are normal; every space is U+0020 and every hyphen U+002D; nothing invisible is left,
 except the vowel separator, variation selectors and joiners inside a word of Mongolian script, where they are
 orthography. Words with a Latin letter that has no Cyrillic look-alike are Latin words. A word of look-alikes only is
-Mongolian, unless the corpus uses its Latin spelling more often than the Cyrillic one, at least 20 times, and for at
-least one in 100,000 of its words (so at most 100,000 such words can exist, which bounds what is sent to the executors).
+Mongolian, unless the corpus uses its Latin spelling more often than the Cyrillic one, and at least 20 times. The rule
+looks at the word's own counts only, whatever the size of the corpus. It needs some number of uses: a seldom word that is
+never met in Cyrillic letters is mostly a Mongolian one whose few copies all have look-alikes.
 
 Null stays null, the empty text stays empty; a text without letters is rewritten like any other. Letter case,
 quotation marks, dashes, runs of plain spaces and marks without a composed letter are left alone.
@@ -20,8 +21,8 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Collection, Iterable, Iterator
+from functools import lru_cache, partial
 
 import ahocorasick
 import numpy as np
@@ -62,7 +63,9 @@ HYPHENS = "-‐‑⁃﹣－"
 UNSEEN = "͏ᅟᅠ឴឵ㅤﾠ"
 WORD_OF_SCRIPT = "᠋᠌᠍᠎᠏‌‍"
 
-LEAST_SHARE, LEAST_USES = 100_000, 20
+LEAST_USES = 20
+#: Up to so many Latin words of look-alikes go to the executors with the rules; beyond, they are joined to the texts.
+BROADCAST_WORDS = 100_000
 #: A text without any of these, which are all but plain punctuation, digits and Mongolian letters, is in the form already.
 UNUSUAL = r"[\x00-\x1FA-Za-z\x7F-\xAA\xAC-\xBA\xBC-\x{0400}\x{0402}-\x{040F}\x{0450}\x{0452}-\x{04AD}\x{04B0}-\x{04E7}\x{04EA}-\x{10FFFF}]"
 
@@ -163,10 +166,12 @@ class Form:
                 if (to := chosen.get("latin")) and to != x and script(x) != "latin":
                     self.latin[x] = to
         self.latin_words = frozenset(latin_words)
+        #: (word) where the Latin words are too many to be held here.
+        self.latin_table: DataFrame | None = None
         self._ready = False
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_ready": False, "_general": None, "_by_script": None}
+        return self.__dict__ | {"_ready": False, "latin_table": None, "_general": None, "_by_script": None}
 
     def _prepare(self) -> None:
         def automaton(rules: dict[str, str]) -> ahocorasick.Automaton:
@@ -212,13 +217,13 @@ class Form:
             return "alike"
         return "latin" if "latin" in scripts else "none"
 
-    def _word(self, match: regex.Match) -> str:
+    def _word(self, match: regex.Match, latin_words: Collection[str] = ()) -> str:
         word = match[0]
         if word.isascii() and not self._alike.issuperset(word):
             return word
         kind = self._kind(word)
         if kind == "alike":
-            kind = "latin" if word in self.latin_words else "cyrillic"
+            kind = "latin" if word in self.latin_words or word in latin_words else "cyrillic"
         if kind == "none":
             return word
         apart = unicodedata.normalize("NFD", word) if kind == "cyrillic" and not word.isascii() else word
@@ -232,10 +237,12 @@ class Form:
             return "".join(x if i % 2 else self._rewrite(x, self._general) for i, x in enumerate(pieces))
         return self._rewrite(text, self._general)
 
-    def __call__(self, text: str) -> str:
+    def __call__(self, text: str, latin_words: Collection[str] = ()) -> str:
+        """``text`` in the form; ``latin_words`` are words of look-alikes that are Latin, beside those of the rules."""
         if not self._ready:
             self._prepare()
-        return unicodedata.normalize("NFC", _WORD.sub(self._word, self._clean(text)))
+        word = partial(self._word, latin_words=latin_words) if latin_words else self._word
+        return unicodedata.normalize("NFC", _WORD.sub(word, self._clean(text)))
 
     def candidates(self, text: str) -> Iterator[str]:
         """Words of look-alikes only that aren't in Cyrillic letters, cleaned."""
@@ -257,60 +264,92 @@ def normal_form(text: Column, form: Form) -> Column:
     return F.when(odd, rewritten(F.when(odd, text))).otherwise(text)
 
 
+def _words_asked(form: Form):
+    """The words of each text that only the corpus can tell the script of."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(t, w) for t in batch.column(0).to_pylist() for w in set(form.candidates(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["_text", "word"])
+
+    return asked
+
+
+def in_form(rows: DataFrame, text: str, form: Form, to: str) -> DataFrame:
+    """``rows`` with column ``text`` in the consistent form as column ``to``."""
+    if form.latin_table is None:
+        return rows.withColumn(to, normal_form(F.col(text), form))
+    odd = F.coalesce(F.col(text).rlike(UNUSUAL), F.lit(False))
+    some = rows.filter(odd)
+    asked = some.select(text).distinct().mapInArrow(_words_asked(form), "_text string, word string")
+    latin = asked.join(form.latin_table, "word").groupBy("_text").agg(F.collect_list("word").alias("_latin"))
+
+    @F.arrow_udf(StringType())
+    def rewritten(texts: pa.Array, words: pa.Array) -> pa.Array:
+        return pa.array([form(t, w or ()) for t, w in zip(texts.to_pylist(), words.to_pylist(), strict=True)], pa.string())
+
+    changed = some.join(latin, F.col(text) == F.col("_text"), "left").withColumn("_form", rewritten(F.col(text), F.col("_latin")))
+    kept = [c for c in rows.columns if c != to]
+    return rows.filter(~odd).select(*kept, F.col(text).alias(to)).unionByName(changed.select(*kept, F.col("_form").alias(to)))
+
+
 def _usage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per partition: how often each code point occurs, how many words there are, and words of look-alikes only."""
+    """How often each code point occurs, and words of look-alikes only: w in other than Cyrillic letters, y in Cyrillic ones."""
     form = Form()
-    codes: Counter[int] = Counter()
-    words: Counter[str] = Counter()
-    spaces = 0
+    cyrillic = {x for members, _, _ in form.classes for x in members if len(x) == 1 and script(x) == "cyrillic"}
+    alike = cyrillic | {c for members, _, _ in form.classes for x in members for c in x if unicodedata.combining(c)}
     for batch in batches:
         texts = [t for t in batch.column(0).to_pylist() if t]
+        words: Counter[str] = Counter()
+        twins: Counter[str] = Counter()
         for t in texts:
             if _ODD.search(t):
                 words.update(form.candidates(t))
         joined = " ".join(texts)
+        for piece, n in Counter(joined.split()).items():
+            for w in _WORD.findall(piece):
+                if alike.issuperset(w):
+                    twins[w] += n
         seen, n = np.unique(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True)
-        codes.update(dict(zip(seen.tolist(), n.tolist(), strict=True)))
-        spaces += joined.count(" ") + bool(joined)
-    if spaces:
-        rows = [("c", chr(c), n) for c, n in codes.items() if not 0xD800 <= c < 0xE000] + [("w", w, n) for w, n in words.items()] + [("n", "", spaces)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["kind", "item", "n"])
+        codes = [("c", chr(c), n) for c, n in zip(seen.tolist(), n.tolist(), strict=True) if not 0xD800 <= c < 0xE000]
+        rows = codes + [("w", w, n) for w, n in words.items()] + [("y", w, n) for w, n in twins.items()]
+        kinds = pa.string(), pa.string(), pa.int64()
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["kind", "item", "n"])
 
 
-def _twins(wanted: dict[str, str]):
-    """Counts of given Cyrillic words."""
+def _twins(form: Form):
+    """Words of look-alikes, each with the same word in Cyrillic letters."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[str] = Counter()
+    def twins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    found.update(w for w in _WORD.findall(t) if w in wanted)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["item", "n"])
+            found = [form(w) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), batch.column(1)], names=["word", "twin", "n"])
 
-    return count
+    return twins
 
 
 def fit_form(*texts: DataFrame) -> Form:
     """Rules fitted to one-column tables of text: all of them are counted.
 
-    What reaches the driver is bounded: a count for each code point, and the words of look-alikes that make up at least
-    one in ``LEAST_SHARE`` of all words.
+    What reaches the driver is bounded: a count for each code point, and at most ``BROADCAST_WORDS`` Latin words of
+    look-alikes; more of them stay a table, which ``in_form`` joins to the texts.
     """
     column = texts[0]
     for t in texts[1:]:
         column = column.union(t)
     usage = stored(column.mapInArrow(_usage, "kind string, item string, n long").groupBy("kind", "item").agg(F.sum("n").alias("n")))
     codes = {r.item: r.n for r in usage.filter("kind = 'c'").collect()}
-    words = sum(r.n for r in usage.filter("kind = 'n'").collect())
-    latin = {r.item: r.n for r in usage.filter((F.col("kind") == "w") & (F.col("n") >= LEAST_USES) & (F.col("n") * LEAST_SHARE >= words)).collect()}
-    if latin:
-        rules = Form(codes)
-        twin = {w: rules(w) for w in latin}
-        found = column.mapInArrow(_twins({t: w for w, t in twin.items()}), "item string, n long").groupBy("item").agg(F.sum("n").alias("n"))
-        cyrillic = {r.item: r.n for r in found.collect()}
-        latin = {w: n for w, n in latin.items() if n > cyrillic.get(twin[w], 0)}
-    return Form(codes, latin)
+    often = usage.filter((F.col("kind") == "w") & (F.col("n") >= LEAST_USES)).select("item", "n")
+    if not often.limit(1).count():
+        return Form(codes)
+    pairs = often.mapInArrow(_twins(Form(codes)), "word string, twin string, n long")
+    cyrillic = usage.filter("kind = 'y'").select(F.col("item").alias("twin"), F.col("n").alias("uses"))
+    latin = stored(pairs.join(cyrillic, "twin", "left").filter(F.col("n") > F.coalesce("uses", F.lit(0))).select("word"))
+    if latin.count() <= BROADCAST_WORDS:
+        return Form(codes, [r.word for r in latin.collect()])
+    form = Form(codes)
+    form.latin_table = latin
+    return form
 
 
 # The fields of problem 7, with the key of their table.
@@ -335,14 +374,14 @@ def p7_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value of the four fields in the consistent form."""
     found = fields(spark, sf_dir)
     form = fit_form(found.select("text"))
-    return found.select("table_name", "column_name", "row_key", normal_form(F.col("text"), form).alias("text"))
+    return in_form(found, "text", form, "text")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values that are not in the consistent form."""
     found = fields(spark, sf_dir)
     form = fit_form(found.select("text"))
-    changed = found.filter(F.col("text").rlike(UNUSUAL)).withColumn("form", normal_form(F.col("text"), form))
+    changed = in_form(found.filter(F.col("text").rlike(UNUSUAL)), "text", form, "form")
     return changed.filter(F.col("form") != F.col("text")).select("table_name", "column_name", "row_key")
 
 

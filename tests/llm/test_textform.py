@@ -103,6 +103,20 @@ def test_genuine_latin_word_of_look_alikes(spark, tables):
     assert found == {53, 54, 64}
 
 
+def test_a_latin_word_is_told_by_its_own_counts(spark, tables):
+    """The size of the corpus doesn't matter."""
+    d = tables_of(tables, ["TOP үг"] * 5 + ["cap үг", "үг " * 600_000])
+    assert {r.row_key for r in textform.p7_found(spark, d).collect()} == {5}
+
+
+def test_latin_words_beyond_the_broadcast_limit(spark, tables, monkeypatch):
+    monkeypatch.setattr(textform, "BROADCAST_WORDS", 0)
+    d = tables_of(tables, ["TOP xүүxэд, TOP CEO"] * 10 + ["ТОР үг", "xaxa үг", "хаха үг", None, "", "үг", "cap"])
+    assert {r.row_key for r in textform.p7_found(spark, d).collect()} == {*range(10), 11, 16}
+    texts = {r.row_key: r.text for r in textform.p7_normalised(spark, d).filter("table_name = 'fleurs'").collect()}
+    assert texts[0] == "TOP хүүхэд, TOP CEO" and texts[11] == "хаха үг" and texts[13] is None and texts[14] == "" and len(texts) == 17
+
+
 def test_empty_tables(spark, tables):
     d = tables_of(tables, [])
     assert textform.p7_found(spark, d).count() == 0 and textform.p7_normalised(spark, d).count() == 0
