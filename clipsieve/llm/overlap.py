@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from clipsieve.llm.base import WS, stored, table
-from clipsieve.llm.textform import fit_form, in_form
+from clipsieve.llm.textform import corpus_form, in_form
 
 SHINGLE = 4
 ROWS = 4
@@ -143,7 +143,7 @@ def near_classes(train: DataFrame, held_out: DataFrame) -> DataFrame:
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cv = table(spark, sf_dir, "common_voice").filter(F.col("row_id").isNotNull() & F.col("split").isin("train", *HELD_OUT))
-    form = fit_form(cv.select("sentence"))
+    form = corpus_form(spark, sf_dir)
     kept = cv.select("row_id", "split", "segment", recording(F.col("path")).alias("recording"), F.col("sentence").alias("text"))
     return stored(in_form(kept, "text", form, "text").withColumn("text", comparable(F.col("text"))))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipsieve.llm.base import Sorted, join_counted, key_of, small, stored, table
-from clipsieve.llm.textform import fit_form, in_form
+from clipsieve.llm.textform import corpus_form, in_form
 
 PROPORTIONS = {"train": 0.8, "dev": 0.1, "test": 0.1}
 LABELS = 16
@@ -49,7 +49,7 @@ def connected(edges: DataFrame) -> DataFrame:
 def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """row_id, speaker, sentence (in the form of problem 7, null where it joins nobody) and the label."""
     cv = table(spark, sf_dir, "common_voice")
-    form = fit_form(cv.select("sentence"))
+    form = corpus_form(spark, sf_dir)
     speaker = key_of(F.col("client_id"))
     label = F.coalesce(F.pmod(F.xxhash64(key_of(F.col("gender"))), F.lit(LABELS)), F.lit(0))
     kept = cv.select("row_id", speaker.alias("speaker"), "sentence", label.cast("int").alias("label"))

@@ -22,7 +22,7 @@ import sys
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Collection, Iterable, Iterator
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 
 import ahocorasick
 import numpy as np
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from clipsieve.llm.base import stored, table
+from clipsieve.operators.tables import exists
 
 # A Cyrillic letter and the letters of other alphabets, or older Cyrillic ones, that look like it.
 LOOKALIKES = {
@@ -361,13 +362,19 @@ FIELDS = [
 ]
 
 
-def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fields(spark: SparkSession, sf_dir: str, named: list[tuple[str, str, str]] = FIELDS) -> DataFrame:
     """All values of the four fields: table_name, column_name, row_key, text."""
     parts = [
         table(spark, sf_dir, t).select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(k).alias("row_key"), F.col(c).alias("text"))
-        for t, c, k in FIELDS
+        for t, c, k in named
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)
+
+
+def corpus_form(spark: SparkSession, sf_dir: str) -> Form:
+    """The form of problem 7 for operators on common_voice: fitted to all four fields, of those tables that are there."""
+    there = [x for x in FIELDS if x[0] == "common_voice" or exists(spark, f"{sf_dir}/{x[0]}.parquet")]
+    return fit_form(fields(spark, sf_dir, there).select("text"))
 
 
 def p7_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clipsieve.llm import textform
+from clipsieve.llm import overlap, splits, textform
 from clipsieve.llm.textform import Form
 
 FORM = Form()
@@ -117,6 +117,15 @@ def test_latin_words_beyond_the_broadcast_limit(spark, tables, monkeypatch):
     assert texts[0] == "TOP хүүхэд, TOP CEO" and texts[11] == "хаха үг" and texts[13] is None and texts[14] == "" and len(texts) == 17
 
 
+def test_one_form_for_all_operators(spark, tables):
+    """A word that only the other fields use often is Latin for problems 1 and 6 too: TOP and ТОР are not the same."""
+    rows = [(0, "train", "a", "", "TOP", "", "", 0.0, None), (1, "dev", "b", "", "ТОР", "", "", 0.0, None)]
+    cv = "row_id long, split string, client_id string, path string, sentence string, segment string, gender string, dnsmos_ovr double, asr_transcript string"
+    d = tables(common_voice=(rows, cv), worldspeech=([(i, "TOP") for i in range(30)], "ws_id long, human_transcript string"), fleurs=([], "fl_id long, raw_transcription string"))
+    assert splits.p1_found(spark, d).count() == 0
+    assert overlap.p6_found(spark, d).count() == 0
+
+
 def test_empty_tables(spark, tables):
     d = tables_of(tables, [])
     assert textform.p7_found(spark, d).count() == 0 and textform.p7_normalised(spark, d).count() == 0
