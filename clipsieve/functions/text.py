@@ -20,7 +20,7 @@ _OTHER = r"[^\x{0400}-\x{04FF} a-z0-9\x{1800}-\x{18AF}\p{L}\p{N}_\s\x1c-\x1f\x85
 #: White space that isn't a single plain space.
 _UNEVEN = r"[\s\x1c-\x1f\x85\p{Z}]{2,}|[\s\x1c-\x1f\x85\p{Z}&&[^ ]]"
 #: A text with one of these may need composition. (Naming the other characters, negated, takes three times as long.)
-_MAY_COMPOSE = r"[\x{0300}-\x{03FF}\x{0483}-\x{0489}\x{0530}-\x{17FF}\x{1885}-\x{1FFF}\x{2070}-\x{10FFFF}]"
+_MAY_COMPOSE = r"[\x{0300}-\x{03FF}\x{0483}-\x{0489}\x{0530}-\x{17FF}\x{1885}-\x{2001}\x{2070}-\x{10FFFF}]"
 
 
 def nfc(text: Column, raw: Column | None = None) -> Column:

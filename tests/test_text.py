@@ -80,3 +80,7 @@ def test_votes(spark):
 
 def test_keys(spark):
     assert apply(spark, text.keys, [" CV, ws", "all"]) == [["cv", "ws"], ["all"]]
+
+
+def test_nfc_of_spaces_that_change(spark):
+    assert apply(spark, text.nfc, ["a\u2000b", "\u2001"]) == ["a\u2002b", "\u2003"]
