@@ -48,9 +48,13 @@ def peak(pcm: Column) -> Column:
 
 def peak_normalised(pcm: Column, policy: Policy = DEFAULT) -> Column:
     """Scaled so the peak is the target, and clipped to it; silence is left alone."""
-    top, target = peak(pcm), F.lit(policy.target_peak)
-    scaled = F.transform(pcm, lambda x: F.greatest(-target, F.least(target, x / (top + policy.peak_epsilon) * target)))
-    return F.when(F.coalesce(top, F.lit(0.0)) < policy.silence_peak, pcm).otherwise(scaled)
+    target = F.lit(policy.target_peak)
+
+    def scaled(top: Column) -> Column:
+        return F.transform(pcm, lambda x: F.greatest(-target, F.least(target, x / (top + policy.peak_epsilon) * target)))
+
+    # the peak is bound as a lambda's argument: inside the inner one it would be sought again for each sample
+    return F.transform(F.array(peak(pcm)), lambda top: F.when(F.coalesce(top, F.lit(0.0)) < policy.silence_peak, pcm).otherwise(scaled(top)))[0]
 
 
 def speech_ratio(segments: Column, n: Column) -> Column:

@@ -68,8 +68,13 @@ def fixed(x: Column, digits: int) -> Column:
 
 
 def first_filled(*values: Column) -> Column:
-    """The first value that is neither null nor empty nor zero, as text."""
-    return F.coalesce(*(F.nullif(F.nullif(v.cast("string"), F.lit("")), F.lit("0")) for v in values[:-1]), values[-1].cast("string"))
+    """The first value that is neither null, nor the empty text, nor the number zero, as text. The text '0' is a value."""
+
+    def filled(v: Column) -> Column:
+        shown = v.cast("string")
+        return F.when((shown == "") | ((F.typeof(v) != "string") & (shown.try_cast("double") == 0)), None).otherwise(shown)
+
+    return F.coalesce(*(filled(v) for v in values[:-1]), values[-1].cast("string"))
 
 
 def votes(text: Column, lenient: bool = False) -> Column:

@@ -1,7 +1,8 @@
 """Scorers of clips behind one interface, so that model-based ones can replace the stand-ins here.
 
 A scorer gets samples, or null for a clip that an earlier gate rejected (conditions don't keep rows from a Python
-function, null inputs do), and returns null for null. A worker builds its model once, on first use.
+function, null inputs do), and returns null for null. A worker builds its model once, on first use. What it returns is
+struct<value, error>: a model that fails on a clip gives the clip's error and doesn't end the job.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from clipsieve.plans.policy import DEFAULT, Policy
 
@@ -31,11 +32,19 @@ def scorer(build: Callable[[], Callable[[np.ndarray], Any]], returns: DataType)
     """A scorer from a function that builds the model: ``build()`` runs once in each worker."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    @F.arrow_udf(returns)
+    def one(model: Callable[[np.ndarray], Any], x: list[float] | None) -> dict[str, Any] | None:
+        if x is None:
+            return None
+        try:
+            return {"value": model(np.asarray(x, dtype=np.float64)), "error": None}
+        except Exception as e:  # noqa: BLE001 - any error is the clip's reject reason
+            return {"value": None, "error": str(e) or type(e).__name__}
+
+    @F.arrow_udf(StructType([StructField("value", returns), StructField("error", StringType())]))
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, kind = _built(build), to_arrow_type(returns)
+        model, kind = _built(build), pa.struct([("value", to_arrow_type(returns)), ("error", pa.string())])
         for batch in batches:
-            yield pa.array([None if x is None else model(np.asarray(x, dtype=np.float64)) for x in batch.to_pylist()], kind)
+            yield pa.array([one(model, x) for x in batch.to_pylist()], kind)
 
     return score.asNondeterministic()
 

@@ -19,32 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``).
+
+    Where none is set, a run on one machine (a ``local`` master, as in tests) gets a temporary folder; on a cluster it
+    is an error, as a folder of one machine wouldn't be seen by the others.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext
         found = context.getCheckpointDir()
         if not found:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             _own.append(tempfile.mkdtemp(prefix="clipsieve-"))
             context.setCheckpointDir(_own[-1])
             found = context.getCheckpointDir()
     return found.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str):  # noqa: ANN202 - a Java object
+def file_system(spark: SparkSession, path: str):  # noqa: ANN202 - Java objects
+    """The file system of an address, and the address as its path."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder, on whatever file system."""
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     return system.exists(where)
 
 
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder if it is there, on whatever file system."""
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     system.delete(where, True)
 
 
@@ -65,13 +72,28 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back.
 
     It cuts the lineage like a reliable checkpoint, survives the loss of executors, and is computed once. The tables
-    are deleted when the driver's process ends.
+    are deleted by ``free``, or when the driver's process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/clipsieve-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new place in the shared folder, deleted when the driver's process ends."""
+    path = f"{shared_dir(spark)}/clipsieve-{uuid.uuid4().hex}"
     _stored.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def free(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read any more."""
+    for t in tables:
+        _stored.remove((t.sparkSession, t.stored_at))
+        delete(t.sparkSession, t.stored_at)
 
 
 #: A table in fewer partitions than cores is spread over up to so many.

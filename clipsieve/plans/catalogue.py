@@ -7,7 +7,6 @@ samples and say nothing about sound.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clipsieve.functions import signal, text
 from clipsieve.operators import batches, gates, records, stats
-from clipsieve.operators.tables import shared_dir, spread, table
+from clipsieve.operators.tables import delete, scratch, spread, stored, table
 from clipsieve.plans import pipeline
 from clipsieve.plans.policy import DEFAULT
 from clipsieve.sources import readers, sinks
@@ -171,17 +170,39 @@ def rejected_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.rejected(_verdicts(spark, sf_dir))
 
 
+def _published(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    spec = SPECS[key]
+    return pipeline.published(pipeline.judged(table(spark, sf_dir, TABLES[key]), spec), spec)
+
+
 def promote_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = SPECS["ws"]
-    rows = pipeline.scored(table(spark, sf_dir, "worldspeech"), spec)
-    back = {f"source_{m}": m for m in spec.scores if f"source_{m}" in rows.columns}
-    fresh = {m: f"_fresh_{m}" for m in spec.scores}
-    return records.promote(rows.withColumnsRenamed(fresh).withColumnsRenamed(back).drop("ground_truth"), fresh)
+    return _published(spark, sf_dir, "ws")
 
 
 def typed_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "fleurs")
-    return records.typed(rows, SPECS["fleurs"].output)
+    return _published(spark, sf_dir, "fleurs")
+
+
+def renamed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source's own metrics under other names, so that the cascade's don't take their place."""
+    back = {b: a for a, b in SPECS["ws"].renames.items()}
+    source = table(spark, sf_dir, "worldspeech").withColumnsRenamed(back)
+    found = pipeline.scored(source, SPECS["ws"])
+    return records.measured(found.select("ws_id", "original_asr_transcript", "original_cer", "asr_transcript", "cer"))
+
+
+def error_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips on which a model or the reading of a file failed, and how that ranks among the gates."""
+    failed = lambda n, text: F.when(F.col("row_id") % n == 0, F.lit(text))
+    errors = {"crash_error": failed(13, "out of memory"), "load_error": failed(11, "no such file"), "vad_error": failed(7, "v"), "dnsmos_error": failed(5, "d"), "asr_error": failed(3, "w")}
+    return pipeline.judged(table(spark, sf_dir, "common_voice").withColumns(errors), SPECS["cv"]).select("row_id", "passed", "reject_stage", "reject_reason")
+
+
+def mirrored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written by split and read again as a mirror."""
+    path = scratch(spark)
+    sinks.write_records(_published(spark, sf_dir, "cv"), path)
+    return readers.read_mirror(spark, path).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("sentence")).alias("chars"))
 
 
 def zero_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +248,7 @@ def selected_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({x: F.round(x, 4) for x in stats.SUMS})
+    return df.withColumns({x: F.round(x, 3) for x in stats.SUMS})
 
 
 def funnel_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,9 +274,9 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_count_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps = stats.stage_map(stats.stage_counts(table(spark, sf_dir, "clip_result"), "corpus"), "corpus")
-    of = lambda k: F.first(F.when(F.col("corpus") == k, F.col("stages")), ignorenulls=True)
-    both = maps.agg(stats.merged_maps(of("cv"), of("ws")).alias("m"))
-    return both.select(F.explode("m").alias("reject_stage", "n"))
+    # a map for each corpus
+    every = maps.agg(F.aggregate(F.collect_list("stages"), F.create_map().cast("map<string,bigint>"), stats.merged_maps).alias("m"))
+    return every.select(F.explode("m").alias("reject_stage", "n"))
 
 
 def stage_count_other(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,14 +318,36 @@ def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(source).schema
     spec = SPECS["cv"]
     judge = lambda df: pipeline.judged(df, spec).select("split", "passed", "reject_stage", "duration_s", "dnsmos_ovr", "snr_db", "cer")
-    place = runner.namespace(f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", "cv", "all")
+    place = runner.namespace(scratch(spark), "cv", "all")
     folder, pattern = (sf_dir, "common_voice.parquet") if Path(source).is_file() else (source, "*")
     found = runner.run(spark, folder, schema, place, judge, pattern=pattern)
-    return stats.funnel(found, "split").select("split", "total", "passed")
+    return _rounded(stats.funnel(found, "split"))
+
+
+def _batch_stats(verdicts: DataFrame) -> DataFrame:
+    return stats.funnel(verdicts, "split", "batch_idx")
+
+
+def resumed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the batches of a run that stopped after a portion, amid the next one, and then went on."""
+    spec, place = SPECS["cv"], scratch(spark)
+    rows = pipeline.scored(table(spark, sf_dir, "common_voice"), spec)
+    run = lambda portions: pipeline.judge_in_portions(rows, "row_id", lambda df: pipeline.decided(spread(df), spec), place, P.batch_size, 2, portions)
+    half = run(1)
+    half.write.parquet(f"{place}/verdicts/portion=1")  # what a job that was killed leaves: rows without a commit
+    delete(spark, f"{place}/verdicts/portion=1/_SUCCESS")
+    return _rounded(_batch_stats(run(None)))
+
+
+def prior_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of earlier batches, of which every third lost its own and has only its records."""
+    verdicts = stored(batches.with_ordinals(pipeline.judged(table(spark, sf_dir, "common_voice"), SPECS["cv"]), "split", "row_id"))
+    kept = _batch_stats(verdicts.filter("batch_idx % 3 <> 2"))
+    return _rounded(stats.prior(kept, verdicts.filter("passed"), "split", "batch_idx"))
 
 
 def reject_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/rejects-{uuid.uuid4().hex}"
+    path = scratch(spark)
     sinks.write_rejects(records.rejected(_verdicts(spark, sf_dir)), path)
     return sinks.read_rejects(spark, path).groupBy("stage").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length(F.coalesce("ground_truth", F.lit("")))).alias("chars"))
 
@@ -319,7 +362,7 @@ def wav_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sounds = _wave(spark, sf_dir).withColumn("content", encode_wav(F.col("pcm"), 16_000))
     found = sounds.withColumn("d", decoded(F.col("content")))
-    return found.select("clip", F.size("d.pcm").alias("n"), F.col("d.error").alias("error"), F.size(resampled(F.col("d.pcm"))).alias("n_out"), F.round(signal.peak(F.col("d.pcm").cast("array<double>")), 4).alias("peak"))
+    return found.select("clip", F.size("d.pcm").alias("n"), F.col("d.error").alias("error"), F.size(resampled(F.col("d.pcm"))["value"]).alias("n_out"), F.round(signal.peak(F.col("d.pcm").cast("array<double>")), 4).alias("peak"))
 
 
 # ------------------------------------------------------------------ SQL
@@ -345,9 +388,9 @@ def _units(x: str) -> str:
 _METRIC_SQL = ", ".join("{p}" + m + " AS " + m for m in gates.METRICS)
 _CLIPS = f"""
 clips AS (
-  SELECT 'cv' AS corpus, row_id AS row_key, coalesce(split, '') AS split, coalesce(nullif(nullif(path, ''), '0'), row_id::VARCHAR) AS clip_id, sentence AS truth, 0 AS pre, snr_db AS snr0, {_METRIC_SQL.replace("{p}", "")} FROM common_voice
-  UNION ALL SELECT 'fleurs', fl_id, coalesce(split, ''), coalesce(nullif(nullif(path, ''), '0'), nullif(id, 0)::VARCHAR, fl_id::VARCHAR), raw_transcription, 0, snr_db, {_METRIC_SQL.replace("{p}", "")} FROM fleurs
-  UNION ALL SELECT 'ws', ws_id, 'train', coalesce(nullif(nullif(segment_id, ''), '0'), ws_id::VARCHAR), human_transcript, 1, snr, {_METRIC_SQL.replace("{p}", "clean_")} FROM worldspeech),
+  SELECT 'cv' AS corpus, row_id AS row_key, coalesce(split, '') AS split, coalesce(nullif(path, ''), row_id::VARCHAR) AS clip_id, sentence AS truth, 0 AS pre, snr_db AS snr0, {_METRIC_SQL.replace("{p}", "")} FROM common_voice
+  UNION ALL SELECT 'fleurs', fl_id, coalesce(split, ''), coalesce(nullif(path, ''), nullif(id, 0)::VARCHAR, fl_id::VARCHAR), raw_transcription, 0, snr_db, {_METRIC_SQL.replace("{p}", "")} FROM fleurs
+  UNION ALL SELECT 'ws', ws_id, 'train', coalesce(nullif(segment_id, ''), ws_id::VARCHAR), human_transcript, 1, snr, {_METRIC_SQL.replace("{p}", "clean_")} FROM worldspeech),
 normed AS (SELECT *, {_norm("coalesce(truth, '')")} AS a, {_norm("coalesce(asr_transcript, '')")} AS b FROM clips),
 charset AS (SELECT *, list_distinct(list_transform(range(1, length(a || b) + 1), lambda i: substring(a || b, i, 1))) AS cs FROM normed),
 readings AS (SELECT *, CASE WHEN a = '' THEN 1.0::DOUBLE ELSE levenshtein({_units("a")}, {_units("b")}) / length(a)::DOUBLE END AS rcer,
@@ -386,14 +429,54 @@ def _snr_rules(x: str) -> list[tuple[str, str, str]]:
     return [(c.format(x=x), s, r.replace("{x}", x)) for c, s, r in _SNR]
 
 
+_CASCADE = [*_duration("duration_s::DOUBLE"), *_snr_rules("snr_db::DOUBLE"), *_mos("dnsmos_"), *_READING]
+# of a clip's readings only those of the cascade's last stage were made
 _VERDICTS = f"""WITH {_CLIPS},
-verdicts AS (SELECT corpus, split, row_key, clip_id, truth, duration_s, dnsmos_ovr, snr_db, cer, {_decision([*_duration("duration_s::DOUBLE"), *_snr_rules("snr_db::DOUBLE"), *_mos("dnsmos_"), *_READING])}
-  FROM readings WHERE pre = 0 OR (snr0 >= 8.0 AND NOT isnan(snr0)))"""
-_FUNNEL = (
-    "count(*) AS total, count(*) FILTER (passed) AS passed, round(coalesce(sum(duration_s::DOUBLE) FILTER (passed), 0), 4) AS total_duration_s, "
-    "round(coalesce(sum(dnsmos_ovr::DOUBLE) FILTER (passed), 0), 4) AS sum_dnsmos_ovr, round(coalesce(sum(snr_db::DOUBLE) FILTER (passed), 0), 4) AS sum_snr, "
-    "round(coalesce(sum(cer::DOUBLE) FILTER (passed), 0), 4) AS sum_cer"
+judged AS (SELECT *, {_decision(_CASCADE)} FROM readings WHERE pre = 0 OR (snr0 >= 8.0 AND NOT isnan(snr0))),
+verdicts AS (SELECT * REPLACE (CASE WHEN stage IN ('', 'cer') THEN rcer END AS cer) FROM judged)"""
+_FAILED = [(f"row_key % {n} = 0", stage, f"'{text}'") for n, stage, text in ((13, "crash", "out of memory"), (11, "load", "no such file"), (7, "vad", "vad_error:v"), (5, "dnsmos", "dnsmos_error:d"), (3, "cer", "whisper_error:w"))]
+_WITH_ERRORS = [*_FAILED[:2], *_duration("duration_s::DOUBLE"), _FAILED[2], *_snr_rules("snr_db::DOUBLE"), _FAILED[3], *_mos("dnsmos_"), _FAILED[4], *_READING]
+
+
+def _number(x: str) -> str:
+    return f"CASE WHEN NOT isnan({x}) THEN {x} END"
+
+
+_MEASURED = {"dnsmos_ovr": "dnsmos_ovr", "snr": "snr_db", "cer": "cer"}
+_FUNNEL = "count(*) AS total, count(*) FILTER (passed) AS passed, round(coalesce(sum(duration_s::DOUBLE) FILTER (passed AND NOT isnan(duration_s)), 0), 3) AS total_duration_s, " + ", ".join(
+    f"round(coalesce(sum({x}::DOUBLE) FILTER (passed AND NOT isnan({x})), 0), 3) AS sum_{m}, count({x}) FILTER (passed AND NOT isnan({x})) AS n_{m}" for m, x in _MEASURED.items()
 )
+
+
+def _means(scale: str = "{0}") -> str:
+    return ", ".join(f"{scale.format(f'avg({x}::DOUBLE) FILTER (passed AND NOT isnan({x}))')} AS mean_{m}" for m, x in _MEASURED.items())
+
+
+def _published_sql(key: str, table_name: str, prefix: str = "") -> str:
+    """Records by the corpus' schema, from the verdicts and the source table."""
+    fields = []
+    for f in SPECS[key].output.fields:
+        kind = {"float": "FLOAT", "int": "INTEGER", "string": "VARCHAR"}[f.dataType.simpleString()]
+        x = "v.cer" if f.name == f"{prefix}cer" else "t.human_transcript" if f.name == "sentence" and key == "ws" else f"t.{f.name}"
+        fields.append(f"CAST({_number(x) if kind == 'FLOAT' else x} AS {kind}) AS {f.name}")
+    return f"{_VERDICTS} SELECT {', '.join(fields)}, CASE WHEN v.split = 'other' THEN 'other_clean' ELSE v.split END AS split FROM {table_name} t JOIN verdicts v ON v.corpus = '{key}' AND v.passed AND v.row_key = t.{SPECS[key].row_key}"
+
+
+def _report_sql() -> str:
+    """The lines of the report on cv, each made from the verdicts."""
+    stages = "".join(f" UNION ALL SELECT {i}, '{label}' || lpad(format('{{:,}}', count(*) FILTER (NOT passed AND stage = '{stage}')), 8, ' ') FROM cv" for i, (stage, label) in enumerate(stats.STAGE_LABELS.items(), 2))
+    means = "".join(
+        f" UNION ALL SELECT {i}, '{label}' || lpad(coalesce(printf('%.{digits}f', avg({x}::DOUBLE) FILTER (passed AND NOT isnan({x}))), '-'), 10, ' ') || '{unit}' FROM cv HAVING count(*) FILTER (passed) > 0"
+        for i, (label, x, digits, unit) in enumerate((("Average DNSMOS OVR:         ", "dnsmos_ovr", 3, ""), ("Average SNR:                ", "snr_db", 1, " dB"), ("Average CER:                ", "cer", 3, "")), 12)
+    )
+    return f"""{_VERDICTS}, cv AS (SELECT * FROM verdicts WHERE corpus = 'cv'),
+    lines(line_no, line) AS (SELECT 0, '=== CV — Cleaning Report ===' UNION ALL SELECT 1, 'Total input clips:          ' || lpad(format('{{:,}}', count(*)), 8, ' ') FROM cv{stages}
+      UNION ALL SELECT 9, repeat('─', 50)
+      UNION ALL SELECT 10, 'Total PASSED (clean):       ' || lpad(format('{{:,}}', count(*) FILTER (passed)), 8, ' ') || '  (' || printf('%.1f', 100.0::DOUBLE * count(*) FILTER (passed) / greatest(count(*), 1)) || '% of input)' FROM cv
+      UNION ALL SELECT 11, 'Total hours (clean):        ' || lpad(printf('%.2f', coalesce(sum(duration_s::DOUBLE) FILTER (passed AND NOT isnan(duration_s)), 0) / 3600.0::DOUBLE), 10, ' ') || ' hours' FROM cv{means})
+    SELECT line_no::INTEGER AS line_no, line FROM lines"""
+
+
 _WAVE = "wave AS (SELECT user_id AS clip, list(value ORDER BY event_id) AS pcm FROM events GROUP BY user_id)"
 _WAVE64 = "wave64 AS (SELECT vec_id AS clip, embedding::DOUBLE[] AS pcm FROM embeddings)"
 
@@ -426,7 +509,7 @@ def queries() -> dict[str, Query]:
             peak_normalise, speech_ratio, vad_trim, vad_gate, voiced_mean, mono_mix, mos_gate, metadata_prefilter, cascade_verdict, passed_records,
             rejected_log, promote_fields, typed_output, zero_filled, clip_id_fallback, vote_cast, existing_files_semi, target_lookup, missing_splits,
             union_batches, selected_corpora, funnel_by_split, funnel_rollup, funnel_of_results, merged_stats, stage_counts, stage_count_merge,
-            stage_count_other, clean_hours_and_means, report_text, batch_assignment, running_passed, resume_offset, latest_checkpoint,
+            renamed_fields, error_stages, mirrored_records, resumed_batches, prior_stats, stage_count_other, clean_hours_and_means, report_text, batch_assignment, running_passed, resume_offset, latest_checkpoint,
             stream_equals_batch, reject_log_roundtrip, nfc_udf, wav_decode,
         )
     }
@@ -435,7 +518,9 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     readings = f"WITH {_CLIPS}"
     cv_columns = ", ".join(["row_id", "CASE WHEN split = 'other' THEN 'other_clean' ELSE split END AS out_split", *SPECS["cv"].extra])
-    passed_cv = f"{_VERDICTS} SELECT {cv_columns}, {', '.join(f'cv.{m}' for m in gates.METRICS)} FROM common_voice cv WHERE row_id IN (SELECT row_key FROM verdicts WHERE corpus = 'cv' AND passed)"
+    own = ", ".join("v.cer" if m == "cer" else f"{_number(f'cv.{m}') if m != 'asr_transcript' else f'cv.{m}'} AS {m}" for m in gates.METRICS)
+    passed_cv = f"{_VERDICTS} SELECT {cv_columns}, {own} FROM common_voice cv JOIN (SELECT row_key, cer FROM verdicts WHERE corpus = 'cv' AND passed) v ON v.row_key = cv.row_id"
+    numbered = f"{_VERDICTS}, b AS (SELECT *, (row_number() OVER (PARTITION BY split ORDER BY row_key) - 1) // 500 AS batch FROM verdicts WHERE corpus = 'cv')"
     ws_kept = "FROM worldspeech WHERE snr >= 8.0 AND NOT isnan(snr)"
     return {
         "normalise_text": f"{readings} SELECT corpus, row_key, CASE WHEN truth IS NOT NULL THEN a END AS norm FROM normed",
@@ -464,10 +549,15 @@ def oracle_sql() -> dict[str, str]:
         "cascade_verdict": f"{_VERDICTS} SELECT corpus, split, row_key, clip_id, passed, stage AS reject_stage, reason AS reject_reason FROM verdicts",
         "passed_records": passed_cv,
         "rejected_log": f"{_VERDICTS} SELECT clip_id, stage, reason, left(coalesce(truth, ''), 100) AS ground_truth FROM verdicts WHERE NOT passed",
-        "promote_fields": f"SELECT *, human_transcript AS sentence {ws_kept}",
-        "typed_output": "SELECT * EXCLUDE (fl_id, split) FROM fleurs",
-        "zero_filled": "SELECT result_id, passed, coalesce(snr_db, 0) AS snr_db, coalesce(cer, 0) AS cer, CASE WHEN passed THEN coalesce(duration_s, 0) ELSE 0 END AS duration_s, coalesce(asr_transcript, '') AS asr_transcript FROM clip_result",
-        "clip_id_fallback": "SELECT fl_id, coalesce(nullif(nullif(path, ''), '0'), nullif(id, 0)::VARCHAR, fl_id::VARCHAR) AS clip_id FROM fleurs",
+        "promote_fields": _published_sql("ws", "worldspeech", "clean_"),
+        "typed_output": _published_sql("fleurs", "fleurs"),
+        "renamed_fields": f"SELECT ws_id, original_asr_transcript, {_number('original_cer')} AS original_cer, clean_asr_transcript AS asr_transcript, {_number('clean_cer')} AS cer {ws_kept}",
+        "error_stages": f"{readings} SELECT row_key AS row_id, passed, stage AS reject_stage, reason AS reject_reason FROM (SELECT row_key, {_decision(_WITH_ERRORS)} FROM readings WHERE corpus = 'cv')",
+        "mirrored_records": f"{_VERDICTS} SELECT CASE WHEN split = 'other' THEN 'other_clean' ELSE split END AS split, count(*) AS n, sum(length(truth))::BIGINT AS chars FROM verdicts WHERE corpus = 'cv' AND passed GROUP BY ALL",
+        "resumed_batches": f"{numbered} SELECT split, batch::INTEGER AS batch_idx, {_FUNNEL} FROM b GROUP BY split, batch",
+        "prior_stats": f"{numbered} SELECT split, batch::INTEGER AS batch_idx, {_FUNNEL} FROM b WHERE batch % 3 <> 2 OR passed GROUP BY split, batch",
+        "zero_filled": "SELECT result_id, passed, CASE WHEN snr_db IS NULL OR isnan(snr_db) THEN 0 ELSE snr_db END AS snr_db, CASE WHEN cer IS NULL OR isnan(cer) THEN 0 ELSE cer END AS cer, CASE WHEN passed AND NOT isnan(duration_s) THEN coalesce(duration_s, 0) ELSE 0 END AS duration_s, coalesce(asr_transcript, '') AS asr_transcript FROM clip_result",
+        "clip_id_fallback": "SELECT fl_id, CASE WHEN path <> '' THEN path WHEN id <> 0 THEN id::VARCHAR ELSE fl_id::VARCHAR END AS clip_id FROM fleurs",
         "vote_cast": "SELECT row_id, coalesce(CASE WHEN up_votes = 1 THEN 0 WHEN up_votes = 2 THEN NULL ELSE up_votes END, CASE WHEN up_votes = 2 THEN NULL ELSE 0 END)::INTEGER AS votes FROM common_voice",
         "existing_files_semi": "SELECT row_id, path FROM common_voice SEMI JOIN (SELECT clip_id AS path FROM clip_result WHERE corpus = 'cv') USING (path)",
         "target_lookup": "SELECT corpus, n, target FROM (SELECT corpus, count(*) AS n FROM clip_result GROUP BY corpus) JOIN (VALUES "
@@ -481,16 +571,19 @@ def oracle_sql() -> dict[str, str]:
         "funnel_of_results": "SELECT corpus, split, batch_idx, grouping(corpus, split, batch_idx)::INTEGER AS level, count(*) AS total, count(*) FILTER (passed) AS passed FROM clip_result GROUP BY ROLLUP (corpus, split, batch_idx)",
         "merged_stats": f"{_VERDICTS} SELECT corpus, {_FUNNEL} FROM verdicts GROUP BY corpus",
         "stage_counts": f"{_VERDICTS} SELECT corpus, split, stage AS reject_stage, count(*) AS n FROM verdicts WHERE NOT passed GROUP BY ALL",
-        "stage_count_merge": "SELECT reject_stage, count(*) AS n FROM clip_result WHERE NOT passed AND corpus IN ('cv', 'ws') GROUP BY reject_stage",
+        "stage_count_merge": "SELECT reject_stage, count(*) AS n FROM clip_result WHERE NOT passed AND corpus IS NOT NULL GROUP BY reject_stage",
         "stage_count_other": "SELECT corpus, count(*) FILTER (NOT passed AND reject_stage = 'snr') AS n_other FROM clip_result GROUP BY corpus",
-        "clean_hours_and_means": f"""{_VERDICTS} SELECT corpus, round(100.0::DOUBLE * count(*) FILTER (passed) / greatest(count(*), 1), 6) AS pass_percent, round(coalesce(sum(duration_s::DOUBLE) FILTER (passed), 0) / 3600.0::DOUBLE, 6) AS clean_hours,
-            round(coalesce(sum(dnsmos_ovr::DOUBLE) FILTER (passed), 0) / count(*) FILTER (passed), 6) AS mean_dnsmos_ovr, round(coalesce(sum(snr_db::DOUBLE) FILTER (passed), 0) / count(*) FILTER (passed), 6) AS mean_snr,
-            round(coalesce(sum(cer::DOUBLE) FILTER (passed), 0) / count(*) FILTER (passed), 6) AS mean_cer FROM verdicts GROUP BY corpus""",
+        "clean_hours_and_means": f"""{_VERDICTS} SELECT corpus, round(100.0::DOUBLE * count(*) FILTER (passed) / greatest(count(*), 1), 6) AS pass_percent,
+            round(coalesce(sum(duration_s::DOUBLE) FILTER (passed AND NOT isnan(duration_s)), 0) / 3600.0::DOUBLE, 6) AS clean_hours, {_means("round({0}, 6)")} FROM verdicts GROUP BY corpus""",
+        "report_text": _report_sql(),
         "batch_assignment": f"SELECT *, (idx // 500)::INTEGER AS batch_idx, 'batch_' || lpad((idx // 500)::VARCHAR, 6, '0') AS batch FROM ({_ordinals('common_voice', 'row_id')})",
         "running_passed": _ordinals("clip_result", "result_id", ", (sum((coalesce(passed, false))::BIGINT) OVER (PARTITION BY coalesce(split, '') ORDER BY result_id))::BIGINT AS passed_so_far"),
         "resume_offset": f"SELECT row_id, split, idx FROM ({_ordinals('common_voice', 'row_id')}) WHERE idx >= 500",
         "latest_checkpoint": "SELECT coalesce(max(batch_idx) FILTER (batch_idx % 3 <> 1 AND batch_idx % 2 = 0), -1)::INTEGER AS latest FROM clip_result",
-        "stream_equals_batch": f"{_VERDICTS} SELECT split, count(*) AS total, count(*) FILTER (passed) AS passed FROM verdicts WHERE corpus = 'cv' GROUP BY split",
+        "stream_equals_batch": f"{_VERDICTS} SELECT split, {_FUNNEL} FROM verdicts WHERE corpus = 'cv' GROUP BY split",
         "reject_log_roundtrip": f"{_VERDICTS} SELECT stage, count(*) AS n, sum(length(left(coalesce(truth, ''), 100)))::BIGINT AS chars FROM verdicts WHERE NOT passed GROUP BY stage",
+        "wav_decode": f"""WITH {_WAVE}, s AS (SELECT clip, pcm, greatest(1.0, list_max(list_transform(pcm, lambda x: abs(x)))) AS top FROM wave)
+            SELECT clip, len(pcm)::INTEGER AS n, NULL::VARCHAR AS error, ((len(pcm) * 3 + 1) // 2)::INTEGER AS n_out,
+            round(list_max(list_transform(pcm, lambda x: abs(round_even(x / top * 32767, 0)))) / 32768, 4) AS peak FROM s""",
         "nfc_udf": "SELECT row_id, nfc_normalize(sentence) AS composed FROM common_voice",
     }

@@ -8,14 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
 
 from clipsieve.plans.policy import DEFAULT
 
-PCM = "struct<pcm:array<float>,error:string>"
-#: Clips in an Arrow batch: a 30 s clip has 2 MB.
+PCM = StructType([StructField("pcm", ArrayType(FloatType())), StructField("error", StringType())])
+_PCM = pa.struct([("pcm", pa.list_(pa.float32())), ("error", pa.string())])
+#: Clips decoded into one Arrow batch: a 30 s clip has 2 MB.
 CLIPS_AT_ONCE = 32
 
 
@@ -56,39 +58,77 @@ def resample(x: np.ndarray, rate: int, to: int, taps: int = 32) -> np.ndarray:
     return np.where(good, x[np.clip(source, 0, len(x) - 1)] * kernel[np.clip(offset, 0, 2 * half)], 0.0).sum(axis=1)
 
 
+def _one(data: bytes | None, rate: int) -> dict | None:
+    if data is None:
+        return None
+    try:
+        samples, found = decode_wav(data)
+        return {"pcm": resample(samples, found, rate).astype(np.float32), "error": None}
+    except Exception as e:  # noqa: BLE001 - any error is the clip's reject reason
+        return {"pcm": None, "error": f"{type(e).__name__}: {e}"}
+
+
 def decoded(content: Column, rate: int = DEFAULT.sample_rate) -> Column:
     """struct<pcm,error> of wave files; null for null. A file that can't be decoded gives its error."""
-    from pyspark.sql.types import StringType, StructField, StructType
 
-    kind = StructType([StructField("pcm", ArrayType(FloatType())), StructField("error", StringType())])
-
-    @F.arrow_udf(kind)
+    @F.arrow_udf(PCM)
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
-            for data in batch.to_pylist():
-                if data is None:
-                    out.append(None)
-                    continue
-                try:
-                    samples, found = decode_wav(data)
-                    out.append({"pcm": resample(samples, found, rate).astype(np.float32).tolist(), "error": None})
-                except Exception as e:  # noqa: BLE001 - any error is the clip's reject reason
-                    out.append({"pcm": None, "error": f"{type(e).__name__}: {e}"})
-            yield pa.array(out, pa.struct([("pcm", pa.list_(pa.float32())), ("error", pa.string())]))
+            for i in range(0, len(batch), CLIPS_AT_ONCE):
+                yield pa.array([_one(data.as_py(), rate) for data in batch.slice(i, CLIPS_AT_ONCE)], _PCM)
 
     return decode(content)
 
 
-def resampled(pcm: Column, rate: int = DEFAULT.sample_rate, to: int = DEFAULT.output_sample_rate) -> Column:
-    """Samples at another rate; null for null."""
+def _content(place: str) -> bytes:
+    """A file's bytes, on whatever file system its address names."""
+    uri = "file://" + place[5:] if place.startswith("file:/") and not place.startswith("file://") else place
+    system, path = fs.FileSystem.from_uri(uri)
+    with system.open_input_stream(path) as f:
+        return f.read()
+
+
+def loaded(rows: DataFrame, place: str, rate: int = DEFAULT.sample_rate) -> DataFrame:
+    """Adds pcm and load_error of the wave files at column ``place``, which the workers read themselves.
+
+    So samples never pass a shuffle, and a file that is gone or broken is an error of its row. A null place is one too.
+    """
 
-    @F.arrow_udf(ArrayType(FloatType()))
+    def one(at: str | None) -> dict:
+        try:
+            return _one(_content(at), rate)
+        except Exception as e:  # noqa: BLE001 - any error is the clip's reject reason
+            return {"pcm": None, "error": f"{type(e).__name__}: {e}"}
+
+    @F.arrow_udf(PCM)
+    def load(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for i in range(0, len(batch), CLIPS_AT_ONCE):
+                yield pa.array([one(at.as_py()) for at in batch.slice(i, CLIPS_AT_ONCE)], _PCM)
+
+    found = rows.withColumn("_loaded", load.asNondeterministic()(F.col(place)))
+    return found.withColumns({"pcm": F.col("_loaded.pcm"), "load_error": F.col("_loaded.error")}).drop("_loaded")
+
+
+def resampled(pcm: Column, rate: int = DEFAULT.sample_rate, to: int = DEFAULT.output_sample_rate) -> Column:
+    """struct<value,error>: samples at another rate; null for null."""
+    kind = pa.struct([("value", pa.list_(pa.float32())), ("error", pa.string())])
+
+    def one(x: list[float] | None) -> dict | None:
+        if x is None:
+            return None
+        try:
+            return {"value": resample(np.asarray(x, dtype=np.float64), rate, to).astype(np.float32), "error": None}
+        except Exception as e:  # noqa: BLE001 - any error is the clip's reject reason
+            return {"value": None, "error": f"{type(e).__name__}: {e}"}
+
+    @F.arrow_udf(StructType([StructField("value", ArrayType(FloatType())), StructField("error", StringType())]))
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([None if x is None else resample(np.asarray(x, dtype=np.float64), rate, to).astype(np.float32).tolist() for x in batch.to_pylist()], pa.list_(pa.float32()))
+            for i in range(0, len(batch), CLIPS_AT_ONCE):
+                yield pa.array([one(x.as_py()) for x in batch.slice(i, CLIPS_AT_ONCE)], kind)
 
-    return run(pcm)
+    return run.asNondeterministic()(pcm)
 
 
 def read_clips(files: DataFrame, content: str = "content") -> DataFrame:

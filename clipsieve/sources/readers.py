@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from clipsieve.functions.text import votes
+from clipsieve.operators.tables import exists
 from clipsieve.plans.policy import DEFAULT, Policy
 from clipsieve.sources.schema import TSV
 
@@ -28,13 +29,14 @@ def existing(rows: DataFrame, files: DataFrame, on: str = "path") -> DataFrame:
 
 def read_split(spark: SparkSession, lang_dir: str, split: str, lenient: bool = False) -> DataFrame | None:
     """A split file's rows whose clip exists, with the clip's place; None without the file. Missing columns are ''."""
-    path = Path(lang_dir) / f"{split}.tsv"
-    if not path.exists():
+    path = f"{lang_dir}/{split}.tsv"
+    if not exists(spark, path):
         return None
-    with path.open(encoding="utf-8") as f:
-        header = next(iter(f), "").rstrip("\r\n").split("\t")
+    # the first line of the file
+    line = spark.read.text(path).first()
+    header = (line[0] if line else "").rstrip("\r\n").split("\t")
     schema = StructType([StructField(c, StringType()) for c in header])
-    rows = spark.read.schema(schema).csv(str(path), sep="\t", header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8")
+    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8")
     has = set(header)
     # an empty field is read as null; in the source it is ''
     plain = {c: (F.coalesce(F.col(c), F.lit("")) if c in has else F.lit("")) for c in TSV}

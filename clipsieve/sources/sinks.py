@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipsieve.operators.tables import file_system
 from clipsieve.plans.policy import DEFAULT
 
 #: Under which name, and with which title, a corpus is written.
@@ -17,9 +16,22 @@ TARGETS = {
 }
 
 
-def write_records(records: DataFrame, path: str, row_bytes: int = 64_000, mode: str = "overwrite") -> None:
+#: Bytes of a record beside its samples, and of a sample.
+ROW_BYTES, SAMPLE_BYTES = 600, 4
+
+
+def mean_bytes(records: DataFrame) -> int:
+    """The mean size of a record: its samples by their duration, of which only that column is read, and the rest."""
+    if "audio" not in records.columns:
+        return ROW_BYTES
+    seconds = records.agg(F.avg("duration_s")).first()[0] or 0.0
+    return ROW_BYTES + int(seconds * DEFAULT.output_sample_rate) * SAMPLE_BYTES
+
+
+def write_records(records: DataFrame, path: str, row_bytes: int | None = None, mode: str = "overwrite") -> None:
     """Accepted records by split, in files of about the shard size. A split without rows leaves no folder."""
-    records.write.mode(mode).option("maxRecordsPerFile", max(1, DEFAULT.shard_bytes // row_bytes)).partitionBy("split").parquet(path)
+    rows = max(1, DEFAULT.shard_bytes // (row_bytes or mean_bytes(records)))
+    records.write.mode(mode).option("maxRecordsPerFile", rows).partitionBy("split").parquet(path)
 
 
 def write_rejects(log: DataFrame, path: str, resume: bool = False) -> None:
@@ -42,11 +54,18 @@ def read_batches(spark: SparkSession, path: str, last: int | None = None) -> Dat
     return found if last is None else found.filter(F.col("batch_idx") <= last)
 
 
-def save_text(text: str, path: str) -> None:
-    """A report or card, replacing what was there."""
-    file = Path(path)
-    file.parent.mkdir(parents=True, exist_ok=True)
-    file.write_text(text, encoding="utf-8")
+def save_text(spark: SparkSession, text: str, path: str) -> None:
+    """A report or card, replacing what was there, on whatever file system."""
+    system, where = file_system(spark, path)
+    out = system.create(where, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def card(title: str, fields: list[tuple[str, str]], report: str) -> str:
@@ -61,6 +80,7 @@ def publish(key: str, records: DataFrame, report: str, root: str) -> str | None:
         return None
     name, title = TARGETS[key]
     write_records(records, f"{root}/{name}/data")
-    save_text(card(title, records.dtypes, report), f"{root}/{name}/README.md")
-    save_text(report, f"{root}/{name}/cleaning_report_{key}.txt")
+    spark = records.sparkSession
+    save_text(spark, card(title, records.dtypes, report), f"{root}/{name}/README.md")
+    save_text(spark, report, f"{root}/{name}/cleaning_report_{key}.txt")
     return f"{root}/{name}"

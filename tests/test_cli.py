@@ -6,7 +6,7 @@ from clipsieve import cli
 
 
 def test_corpora():
-    assert cli.corpora("ALL") == ["cv", "fleurs", "ws"] and cli.corpora(" ws, cv") == ["ws", "cv"]
+    assert cli.corpora("ALL") == ["cv", "fleurs", "ws"] and cli.corpora(" ws, cv") == ["cv", "ws"]
     with pytest.raises(SystemExit):
         cli.corpora("cv,nope")
 
@@ -24,3 +24,20 @@ def test_main_resumes(spark, tables, tmp_path, monkeypatch):
     tables(common_voice=(rows[:1], f"row_id long, split string, path string, sentence string, {metrics}"))
     assert cli.main([d, out, "--datasets", "cv"], spark) == first
     assert "Total input clips:                 1" in cli.main([d, out, "--datasets", "cv", "--no-resume"], spark)["cv"]
+
+
+def test_main_goes_on_in_the_middle(spark, tables, tmp_path, monkeypatch):
+    """A run that stops after its verdicts leaves them; the next takes them as they are."""
+    schema = "row_id long, split string, path string, sentence string, snr_db float, dnsmos_sig float, dnsmos_bak float, dnsmos_ovr float, duration_s float, asr_transcript string"
+    rows = [(i, "train", f"p{i}", "сайн", 20.0, 3.0, 3.0, 3.0, 5.0, "сайн") for i in range(3)]
+    d, out = tables(common_voice=(rows, schema)), str(tmp_path / "out")
+    monkeypatch.chdir(tmp_path)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(cli.sinks, "write_rejects", stop)
+        cli.main([d, out, "--datasets", "cv"], spark)
+    tables(common_voice=(rows[:1], schema))
+    assert "Total PASSED (clean):              3" in cli.main([d, out, "--datasets", "cv"], spark)["cv"]

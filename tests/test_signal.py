@@ -104,7 +104,7 @@ def test_pitch():
 def test_masked_clips_are_not_scored(spark):
     df = spark.createDataFrame([(0, True, sine(1.0).tolist()), (1, False, sine(1.0).tolist())], "i int, alive boolean, pcm array<double>")
     found = df.select("i", speech_segments(masked(F.col("pcm"), F.col("alive"))).alias("s"), pitch_track(masked(F.col("pcm"), F.col("alive"))).alias("p")).orderBy("i").collect()
-    assert len(found[0].s) == 1 and len(found[0].p.f0) > 50 and found[1].s is None and found[1].p is None
+    assert len(found[0].s.value) == 1 and len(found[0].p.value.f0) > 50 and found[1].s is None and found[1].p is None
 
 
 def test_audio_cascade(spark):

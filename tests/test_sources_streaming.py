@@ -5,8 +5,9 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
+from clipsieve.functions.text import first_filled
 from clipsieve.plans import pipeline
-from clipsieve.plans.policy import Policy
+from clipsieve.plans.policy import DEFAULT, Policy
 from clipsieve.sources import readers, sinks
 from clipsieve.sources.schema import SPECS, TSV
 from clipsieve.streaming import runner
@@ -130,3 +131,125 @@ def test_stream_resumes_to_the_same_rows(spark, tmp_path):
     fresh = runner.run(spark, str(source), schema, place, judge, resume=False, files_at_once=100)
     assert fresh.select("batch_idx").distinct().count() == 1 and fresh.count() == 40
     assert "v3_pitch" in place
+
+
+def test_portions_go_on_where_a_run_stopped(spark, tmp_path):
+    """Judged in portions of two batches: after a failure only portions not committed before are judged again."""
+    rows = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(60)], "row_id long, split string")
+    spec_key, seen = "row_id", spark.sparkContext.accumulator(0)
+
+    def judge(df, broken=False):
+        @F.udf("boolean")
+        def fine(i):
+            seen.add(1)
+            if broken and i > 30:
+                raise ValueError("lost")
+            return i % 3 > 0
+
+        return df.withColumn("passed", fine.asNondeterministic()(F.col("row_id")))
+
+    place = str(tmp_path / "run")
+    with pytest.raises(Exception, match="lost"):
+        pipeline.judge_in_portions(rows, spec_key, lambda df: judge(df, True), place, 5, 2)
+    assert pipeline.judge_in_portions(rows, spec_key, judge, place, 5, 2, portions=0).count() == 20
+    before = seen.value
+    found = pipeline.judge_in_portions(rows, spec_key, judge, place, 5, 2)
+    assert seen.value - before == 40
+    got = sorted((r.row_id, r.split, r.idx, r.batch_idx, r.passed) for r in found.collect())
+    assert got == [(i, "ab"[i % 2], i // 2, i // 10, i % 3 > 0) for i in range(60)]
+    none = pipeline.judge_in_portions(rows.limit(0), spec_key, judge, str(tmp_path / "none"), 5)
+    assert none.count() == 0 and {"idx", "batch_idx", "passed"} <= set(none.columns)
+
+
+@pytest.fixture
+def sounds(tmp_path):
+    """A split of clips: speech, too short, silence, not a wave file, and one that models fail on."""
+    import numpy as np
+
+    from clipsieve.sources.waves import wav_bytes
+
+    place = tmp_path / "mn" / "clips"
+    place.mkdir(parents=True)
+    t = np.arange(32_000) / 16_000
+    speech = np.where((t % 0.5) < 0.42, 0.5 * np.sin(2 * np.pi * 200 * t), 0.0005 * np.sin(2 * np.pi * 3000 * t))
+    for name, x in {"good": speech, "quiet": np.zeros(32_000), "short": speech[:8_000], "odd": speech * 0.8, "deaf": speech * 0.6, "harsh": speech * 0.7}.items():
+        (place / f"{name}.wav").write_bytes(wav_bytes(x, 16_000))
+    (place / "broken.wav").write_bytes(b"x")
+    lines = ["path\tsentence"] + [f"{n}.wav\tсайн байна уу" for n in ("good", "quiet", "short", "odd", "deaf", "harsh", "broken", "gone")]
+    (tmp_path / "mn" / "train.tsv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return tmp_path / "mn"
+
+
+@pytest.fixture
+def models():
+    """Models that fail on a clip, or think little of it, by its loudness."""
+    from pyspark.sql.types import StringType
+
+    from clipsieve.operators.scorers import SEGMENTS, energy_segments, scorer
+
+    def only_at(limit, then, other):
+        def build():
+            def model(x):
+                return (then if round(float(abs(x).max()), 2) == limit else other)(x)
+
+            return model
+
+        return build
+
+    def fail(text):
+        def model(_):
+            raise ValueError(text)
+
+        return model
+
+    def rated(score):
+        return lambda _: {k: score for k in ("sig", "bak", "ovr", "p808")}
+
+    vad, mos = only_at(0.4, fail("no model"), energy_segments), only_at(0.35, rated(1.0), rated(3.0))
+    asr = only_at(0.3, fail("no words"), lambda _: "Сайн байна уу?")
+    return pipeline.Models(vad=scorer(vad, SEGMENTS), mos=scorer(mos, pipeline.MOS), asr=scorer(asr, StringType()))
+
+
+def test_clips_to_records(spark, sounds, models, tmp_path):
+    done = pipeline.clean_clips(spark, str(sounds), models=models, place=str(tmp_path / "run"))
+    found = {r.clip_id: (r.reject_stage, r.reject_reason) for r in done.verdicts.collect()}
+    assert found["good.wav"] == ("", "") and found["short.wav"] == ("duration", "too_short_0.50s") and found["quiet.wav"] == ("vad", "vad_no_speech")
+    assert found["odd.wav"] == ("vad", "vad_error:no model") and found["deaf.wav"] == ("cer", "whisper_error:no words")
+    assert found["harsh.wav"] == ("dnsmos", "dnsmos_ovr_1.00") and found["broken.wav"][0] == "load" and "gone.wav" not in found
+    (r,) = done.records.collect()
+    assert (r.path, r.cer, r.audio.sampling_rate, r.dnsmos_ovr) == ("good.wav", 0.0, 24_000, 3.0)
+    assert max(map(abs, r.audio.array)) == pytest.approx(DEFAULT.target_peak, abs=1e-4) and r.snr_db > 8
+    place = sinks.publish("cv", done.records, done.report, str(tmp_path / "out"))
+    assert spark.read.parquet(f"{place}/data").first().audio.sampling_rate == 24_000
+    assert sinks.read_text(spark, f"{place}/cleaning_report_cv.txt") == done.report
+    assert pipeline.clean_clips(spark, str(tmp_path / "empty")) is None
+
+
+def test_clips_with_given_scores(spark, sounds):
+    """Without models for quality and recognition their results come from a table."""
+    scores = spark.createDataFrame([("good.wav", "сайн байна уу", 3.0)], "path string, asr_transcript string, dnsmos_ovr double")
+    done = pipeline.clean_clips(spark, str(sounds), scores=scores)
+    found = {r.clip_id: r.reject_stage for r in done.verdicts.collect()}
+    assert found["good.wav"] == "" and found["deaf.wav"] == "cer"
+
+
+def test_a_clip_that_cannot_be_prepared_is_a_crash(spark, sounds, monkeypatch):
+    def broken(pcm, *_):
+        return F.when(pcm.isNotNull(), F.struct(F.lit(None).cast("array<float>").alias("value"), F.lit("MemoryError: ").alias("error")))
+
+    monkeypatch.setattr(pipeline, "resampled", broken)
+    scores = spark.createDataFrame([("good.wav", "сайн байна уу")], "path string, asr_transcript string")
+    done = pipeline.clean_clips(spark, str(sounds), scores=scores)
+    r = done.verdicts.filter("clip_id = 'good.wav'").first()
+    assert (r.passed, r.reject_stage, r.reject_reason) == (False, "crash", "MemoryError: ") and done.records.count() == 0
+
+
+def test_ids(spark):
+    rows = [("p", 3, 9), ("0", 3, 9), ("", 3, 9), (None, 0, 9), (None, None, 9)]
+    df = spark.createDataFrame(rows, "path string, id int, at long")
+    assert [r[0] for r in df.select(first_filled(F.col("path"), F.col("id"), F.col("at"))).collect()] == ["p", "0", "3", "9", "9"]
+
+
+def test_shards(spark):
+    df = spark.createDataFrame([(10.0, ([0.1], 24_000))], "duration_s double, audio struct<array:array<float>,sampling_rate:int>")
+    assert sinks.mean_bytes(df) == 600 + 960_000 and sinks.mean_bytes(df.drop("audio")) == 600

@@ -149,3 +149,34 @@ def test_small_checks_the_size(spark):
     df = spark.createDataFrame([(i,) for i in range(5)], "i int")
     plans = [df.join(small(df, limit), "i")._jdf.queryExecution().toString() for limit in (5, 4)]
     assert "ResolvedHint (strategy=broadcast)" in plans[0] and "ResolvedHint" not in plans[1]
+
+
+NAN = float("nan")
+
+
+def test_what_is_not_a_number_is_not_measured(spark):
+    rows = [("cv", "a", True, "", 3600.0, 3.0, NAN, 0.25), ("cv", "a", True, "", NAN, NAN, None, 0.75), ("cv", "a", False, "snr", 1.0, NAN, 1.0, NAN)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    r = stats.funnel(df).first()
+    assert (r.total, r.passed, r.total_duration_s, r.sum_dnsmos_ovr, r.n_dnsmos_ovr, r.sum_snr, r.n_snr, r.sum_cer, r.n_cer) == (3, 2, 3600.0, 3.0, 1, 0.0, 0, 1.0, 2)
+    d = stats.derived(stats.funnel(df)).first()
+    assert (d.mean_dnsmos_ovr, d.mean_snr, d.mean_cer) == (3.0, None, 0.5)
+    lines = stats.report("cv", df).split("\n")
+    assert lines[-3:] == ["Average DNSMOS OVR:              3.000", "Average SNR:                         - dB", "Average CER:                     0.500"]
+
+
+def test_records_have_null_for_nan(spark):
+    from clipsieve.sources.schema import struct
+
+    df = spark.createDataFrame([(NAN, 1.0, "x", True)], "snr_db double, cer double, human_transcript string, passed boolean")
+    assert tuple(records.build_record(df, [], metrics=["snr_db", "cer"]).first()) == (None, 1.0)
+    assert tuple(records.typed(df, struct({"snr_db": "float", "cer": "float"})).first()) == (None, 1.0)
+    assert records.promote(df, {"snr_db": "snr_db"}).first().clean_snr_db is None
+    assert records.zero_filled(df).first().snr_db == 0.0
+
+
+def test_statistics_of_earlier_batches(spark):
+    df = spark.createDataFrame([(*r, i // 20) for i, r in enumerate(verdicts(60))], SCHEMA + ", batch_idx int")
+    kept = stats.funnel(df.filter("batch_idx < 2"), "batch_idx")
+    found = {r.batch_idx: r for r in stats.prior(kept, df.filter("passed"), "batch_idx").collect()}
+    assert found[0].total == found[1].total == 20 and found[2].total == found[2].passed == df.filter("batch_idx = 2 and passed").count()
