@@ -50,7 +50,8 @@ _P3 = f"""
 WITH named AS (SELECT row_id, {_KEY.format("client_id")} AS speaker, CASE WHEN isnan(dnsmos_ovr) THEN NULL ELSE dnsmos_ovr END AS q FROM common_voice),
 ranked AS (SELECT row_id, row_number() OVER (PARTITION BY speaker ORDER BY q DESC NULLS LAST, row_id) AS r FROM named WHERE speaker IS NOT NULL),
 cap AS (SELECT greatest(1, count(*) // 100) AS c FROM common_voice),
-found AS (SELECT row_id FROM ranked, cap WHERE r > c)
+found AS (SELECT row_id FROM ranked, cap WHERE r > c),
+kept AS (SELECT row_id FROM ranked, cap WHERE r <= c UNION ALL SELECT row_id FROM named WHERE speaker IS NULL)
 """
 
 _P4 = f"""
@@ -108,7 +109,7 @@ def oracle_sql() -> dict[str, str]:
         "p2_summaries": _p2_summaries() + " SELECT * FROM points",
         "p2_combined": _p2_combined(),
         "p3_found": _P3 + "SELECT row_id FROM found",
-        "p3_kept": _P3 + "SELECT row_id FROM common_voice WHERE row_id NOT IN (SELECT row_id FROM found)",
+        "p3_kept": _P3 + "SELECT row_id FROM kept",
         "p4_found": _P4 + "SELECT ws_id FROM scored JOIN cut USING (source) WHERE score < cutoff",
         "p4_cutoffs": _P4 + "SELECT source, cutoff, n_scored, sum((score >= cutoff)::BIGINT)::BIGINT AS n_kept FROM scored JOIN cut USING (source) GROUP BY ALL",
         "p5_ranking": _p5(),

@@ -7,11 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipsieve.llm.base import Sorted, key_of, small, stored, table
+from clipsieve.llm.base import Sorted, free, key_of, small, stored, table
 
 METRICS = ["snr_db", "cer", "duration_s"]
 PERCENTS = [1, 5, 10, 25, 50, 75, 90, 95, 99]
 EPSILON = 0.001
+#: Rows of a contributor that are ranked in one task before all of its rows are.
+SALT_ROWS = 200_000
 
 # The stages at which a clip already has the metric, besides clips that passed.
 MEASURED_AT = {
@@ -39,27 +41,34 @@ def _long(rows: DataFrame, group: list[str], metrics: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- problem 2
 
 
+def counted(values: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of each value: equal values of a group are one row with its count (c), made before anything is sorted."""
+    return values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _placed(counts: DataFrame, group: list[str], weight: str) -> tuple[DataFrame, DataFrame]:
+    """The values with the rows up to and with them (_upto), in one distributed sort, and each group's rows (n)."""
+    ordered = Sorted(counts.select(*group, "value", weight), group, [F.col("value")])
+    totals = ordered.rows.groupBy(*group).agg(F.sum(weight).alias("n"))
+    return ordered.running(weight, "_upto"), totals
+
+
 def percentiles(values: DataFrame, group: list[str], percents: list[int]) -> DataFrame:
-    """Exact percentiles of ``value`` in each group: one distributed sort, with the count of each group in each partition.
+    """Exact percentiles of ``value`` in each group: one distributed sort, with the counts of each group in each partition.
 
-    From the counts follow the group's offsets and the places of the order statistics next to each target position
-    (n - 1) * p / 100; only the rows at those places are read back, and interpolated linearly. Group keys must not be
-    null. Groups without values have no row.
+    Equal values are counted first, so a value that half of the rows share is one row of the sort. From the counts
+    follow the group's offsets and the places of the order statistics next to each target position
+    (n - 1) * p / 100; they are interpolated linearly. Group keys must not be null. Groups without values have no row.
     """
-    ordered = Sorted(values.select(*group, "value"), group, [F.col("value")])
-    totals = ordered.runs.groupBy(*group).agg(F.sum("_n").alias("n"))
+    placed, totals = _placed(counted(values, group), group, "c")
     wanted = totals.withColumn("percent", F.explode(F.array(*(F.lit(p) for p in percents))))
     wanted = wanted.withColumn("_low", F.expr("((n - 1) * percent) div 100")).withColumn("_part_of", F.expr("((n - 1) * percent) % 100"))
     ends = wanted.withColumn("_high", F.col("_low") + (F.col("_part_of") > 0).cast("long"))
-    places = ends.select(*group, "percent", "n", "_part_of", "_low", F.explode(F.array_distinct(F.array("_low", "_high"))).alias("_rank"))
-    runs = ordered.runs.withColumnRenamed("_n", "_count")
-    inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_count"))
-    located = places.join(runs, group).filter(inside).withColumn("_at", F.col("_first") + F.col("_rank") - F.col("_before"))
-    picked = located.select(*group, "percent", "n", "_part_of", "_low", "_rank", "_at").join(ordered.rows.select("_at", "value"), "_at")
-    low = F.max(F.when(F.col("_rank") == F.col("_low"), F.col("value")))
-    high = F.max(F.when(F.col("_rank") != F.col("_low"), F.col("value")))
-    found = picked.groupBy(*group, "percent", "n", "_part_of").agg(low.alias("_a"), high.alias("_b"))
-    between = F.col("_a") + F.coalesce((F.col("_b") - F.col("_a")) * (F.col("_part_of") / 100.0), F.lit(0.0))
+    # groups times percents rows: the places, not the values, are the side to broadcast
+    holds = lambda rank: (F.col(rank) < F.col("_upto")) & (F.col(rank) >= F.col("_upto") - F.col("c"))
+    picked = placed.select(*group, "value", "c", "_upto").join(small(stored(ends)), group).filter(holds("_low") | holds("_high"))
+    found = picked.groupBy(*group, "percent", "n", "_part_of").agg(F.max(F.when(holds("_low"), F.col("value"))).alias("_a"), F.max(F.when(holds("_high"), F.col("value"))).alias("_b"))
+    between = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_part_of") / 100.0))
     return found.select(*group, "percent", "n", F.round(between, 9).alias("value"))
 
 
@@ -68,30 +77,29 @@ def summaries(values: DataFrame, group: list[str], epsilon: float = EPSILON) ->
 
     step is the whole part of epsilon * n, at least 1. A point's ``weight`` is the number of rows after the point
     before it, so ranks counted from any union of summaries are wrong by less than the sum of their steps, at most
-    epsilon times the number of rows.
+    epsilon times the number of rows. A value that many rows share is a point for each step it fills.
     """
-    ranked = Sorted(values.select(*group, "value"), group, [F.col("value")])
-    totals = ranked.runs.groupBy(*group).agg(F.sum("_n").alias("n"))
+    placed, totals = _placed(counted(values, group), group, "c")
     totals = totals.withColumn("step", F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") * F.lit(epsilon))))
-    rows = ranked.ranked("_rank").join(totals, group)
-    kept = rows.filter("_rank % step = 0 or _rank = n")
-    weight = F.when(F.col("_rank") % F.col("step") == 0, F.col("step")).otherwise(F.col("n") % F.col("step"))
-    return kept.select(*group, "value", weight.alias("weight"), F.col("step"))
+    rows = placed.join(totals, group)
+    whole = F.expr("_upto div step - (_upto - c) div step")
+    left = F.when(F.col("_upto") == F.col("n"), F.col("n") % F.col("step")).otherwise(F.lit(0))
+    points = rows.withColumns({"_points": whole, "_left": left}).filter("_points + _left > 0")
+    weights = F.concat(F.array_repeat(F.col("step"), F.col("_points").cast("int")), F.when(F.col("_left") > 0, F.array("_left")).otherwise(F.array().cast("array<bigint>")))
+    return points.select(*group, "value", F.explode(weights).alias("weight"), "step")
 
 
 def merge(points: DataFrame, group: list[str], percents: list[int]) -> DataFrame:
-    """Percentiles of the union of summaries: value and the bound of its rank error, in rows.
+    """Percentiles of the union of summaries.
 
-    The value is the first point at which the weights reach the target rank. The points of a group are at most
-    1 / epsilon + 1 for each summary, so a window over them is small whatever the rows were.
+    The value is the first point at which the weights reach the target rank. Points are placed by a distributed sort
+    like rows, so there may be any number of summaries to a group.
     """
-    per_value = points.groupBy(*group, "value").agg(F.sum("weight").alias("weight"))
-    reached = per_value.withColumn("_upto", F.sum("weight").over(Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
-    parts = points.groupBy(*group).agg(F.sum("weight").alias("n"))
-    wanted = parts.withColumn("percent", F.explode(F.array(*(F.lit(p) for p in percents))))
+    placed, totals = _placed(points.groupBy(*group, "value").agg(F.sum("weight").alias("weight")), group, "weight")
+    wanted = totals.withColumn("percent", F.explode(F.array(*(F.lit(p) for p in percents))))
     wanted = wanted.withColumn("_rank", F.greatest(F.lit(1).cast("long"), F.expr("(n * percent + 99) div 100")))
-    found = reached.join(wanted, group).filter("_upto >= _rank").groupBy(*group, "percent", "n").agg(F.min("value").alias("value"))
-    return found
+    hit = placed.join(small(stored(wanted)), group).filter("_upto >= _rank and _upto - weight < _rank")
+    return hit.select(*group, "percent", "n", "value")
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,61 +131,91 @@ def p2_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- problem 3
 
 
-def over_cap(rows: DataFrame, contributor: str, quality: str, identifier: str, cap: int) -> DataFrame:
-    """Rows beyond the first ``cap`` of their contributor by quality (highest first, null and NaN last), then identifier.
+def capped(rows: DataFrame, contributor: str, quality: str, identifier: str, cap: int, salt_rows: int = SALT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(kept, left out): identifiers of the first ``cap`` rows of each contributor and of the others.
 
-    Contributors with at most ``cap`` rows are settled by a count. The rest are ranked in two steps: within salts that
-    follow the order (ranges of contributor, quality and identifier together, all of one size, so a contributor with a
-    third of the rows is spread over a third of the tasks), then by the counts of the salts before. Rows without a
-    contributor are not limited.
+    The order is by quality (highest first, null and NaN last), then identifier. Contributors with at most ``cap`` rows
+    are settled by a count. Those with more are ranked in two steps. The rows of a contributor get a salt by hash, a
+    number of them for about ``salt_rows`` rows each, and are ranked within it: what lies beyond the cap there lies
+    beyond it in the whole. What is left, of a contributor at most its salts times ``cap``, is ranked by one sort in
+    which ranges of (contributor, quality, identifier) are spread over the tasks, so a contributor may have any share.
+    Rows without a contributor are kept. Both sides come from the same ranks, so repeated and null identifiers
+    count as often as they occur.
     """
-    named = rows.filter(F.col(contributor).isNotNull())
+    named = rows.select(contributor, quality, identifier).filter(F.col(contributor).isNotNull())
+    counts = stored(named.groupBy(contributor).agg(F.count(F.lit(1)).alias("_rows")))
     # fewer than rows / cap contributors
-    many = small(stored(named.groupBy(contributor).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > cap).select(contributor)))
+    many = small(counts.filter(F.col("_rows") > cap))
+    few = rows.filter(F.col(contributor).isNull()).select(identifier).unionByName(named.join(many, contributor, "left_anti").select(identifier))
     score = F.col(quality).cast("double")
     blank = score.isNull() | F.isnan(score)
     limited = named.join(many, contributor).withColumn("_blank", blank).withColumn("_score", F.when(~blank, -score))
-    ranked = Sorted(limited.select(contributor, "_blank", "_score", identifier), [contributor], [F.col("_blank"), F.col("_score"), F.col(identifier)]).ranked("_rank")
-    return ranked.filter(F.col("_rank") > cap).select(identifier)
+    salts = F.ceil(F.col("_rows") / salt_rows)
+    order = [F.col("_blank"), F.col("_score"), F.col(identifier)]
+    # a salt's rows, about salt_rows of them
+    within = F.row_number().over(Window.partitionBy(contributor, "_salt").orderBy(*order))
+    salted = limited.withColumn("_salt", F.pmod(F.xxhash64(identifier, "_score"), salts)).withColumn("_first", within)
+    ranked = stored(salted.select(contributor, "_blank", "_score", identifier, "_first"))
+    last = Sorted(ranked.filter(F.col("_first") <= cap).drop("_first"), [contributor], order).ranked("_rank")
+    beyond = ranked.filter(F.col("_first") > cap).select(identifier)
+    return few.unionByName(last.filter(F.col("_rank") <= cap).select(identifier)), beyond.unionByName(last.filter(F.col("_rank") > cap).select(identifier))
+
+
+def _capped_speakers(spark: SparkSession, sf_dir: str, share: int) -> tuple[DataFrame, DataFrame]:
+    cv = table(spark, sf_dir, "common_voice").select("row_id", key_of(F.col("client_id")).alias("speaker"), "dnsmos_ovr")
+    return capped(cv, "speaker", "dnsmos_ovr", "row_id", max(1, cv.count() // share))
 
 
 def p3_found(spark: SparkSession, sf_dir: str, share: int = 100) -> DataFrame:
     """Rows left out when a speaker keeps at most one in ``share`` of the table's rows."""
-    cv = table(spark, sf_dir, "common_voice").select("row_id", key_of(F.col("client_id")).alias("speaker"), "dnsmos_ovr")
-    cap = max(1, cv.count() // share)
-    return over_cap(cv, "speaker", "dnsmos_ovr", "row_id", cap)
+    return _capped_speakers(spark, sf_dir, share)[1]
 
 
 def p3_kept(spark: SparkSession, sf_dir: str, share: int = 100) -> DataFrame:
     """Rows that stay."""
-    left_out = p3_found(spark, sf_dir, share)
-    return table(spark, sf_dir, "common_voice").select("row_id").join(left_out, "row_id", "left_anti")
+    return _capped_speakers(spark, sf_dir, share)[0]
 
 
 # ---------------------------------------------------------------- problem 4
 
 
+def _scale(low: str, high: str) -> Column:
+    """A power of two that brings numbers from ``low`` to ``high`` to where differences neither overflow nor vanish."""
+    most = F.greatest(F.abs(low), F.abs(high))
+    return F.when(most > 1e150, F.lit(2.0**-2)).when(most < 1e-150, F.lit(2.0**600)).otherwise(F.lit(1.0))
+
+
 def cutoffs(scored: DataFrame, group: str, score: str, numerator: int = 4, denominator: int = 5, bins: int = 1024) -> DataFrame:
     """For each group the highest score at or above which at least numerator/denominator of its rows lie; exact.
 
-    Equal scores are counted once, before anything is shuffled by group. Then each round counts the scores of the open
-    range of a group into bins, zooms into the bin that holds the target rank, and goes on until one score is left
-    there: about three rounds for 4-byte and six for 8-byte numbers. The scores must not be null or NaN.
+    Each round counts the scores of a group's open range into bins, zooms into the bin that holds the target rank, and
+    so on until one score is left there: about three rounds for 4-byte and six for 8-byte numbers. A round reads the
+    scores and shuffles only counts of bins. The least and the greatest score of a range lie in different bins, so a
+    range shrinks in every round. Infinite scores are counted beside the bins and are cutoffs like others. The scores
+    must not be null or NaN.
     """
-    counts = stored(scored.groupBy(group, F.col(score).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c")))
-    totals = counts.groupBy(group).agg(F.sum("c").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    scores = scored.select(group, F.col(score).cast("double").alias("v"))
+    top, bottom, finite = F.col("v") == float("inf"), F.col("v") == float("-inf"), F.abs("v") < float("inf")
+    totals = scores.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(top).alias("_top"), F.count_if(bottom).alias("_bottom"), F.min(F.when(finite, F.col("v"))).alias("_low"), F.max(F.when(finite, F.col("v"))).alias("_high")
+    )
     # the target: the need-th highest score
-    state = stored(totals.withColumn("need", F.expr(f"(n * {numerator} + {denominator - 1}) div {denominator}")))
+    aimed = totals.withColumn("need", F.expr(f"(n * {numerator} + {denominator - 1}) div {denominator}"))
+    at_end = F.when(F.col("need") <= F.col("_top"), F.lit(float("inf"))).when(F.col("need") > F.col("n") - F.col("_bottom"), F.lit(float("-inf")))
+    state = stored(aimed.select(group, "n", F.coalesce(at_end, "_low").alias("low"), F.coalesce(at_end, "_high").alias("high"), (F.col("need") - F.col("_top")).alias("need")))
     while state.filter("low < high").limit(1).count():
-        open_ = counts.join(state.filter("low < high"), group).filter("v >= low and v <= high")
-        # both divided by the width first: a product could leave the range of doubles
-        width = F.col("high") / 2 - F.col("low") / 2
-        at = F.least(F.lit(bins - 1).cast("long"), F.floor((F.col("v") / 2 - F.col("low") / 2) / width * bins))
-        binned = open_.groupBy(group, at.alias("bin")).agg(F.sum("c").alias("c"), F.min("v").alias("bin_low"), F.max("v").alias("bin_high"))
+        ranges = state.filter("low < high").withColumn("_scale", _scale("low", "high"))
+        open_ = scores.join(small(ranges), group).filter("v >= low and v <= high")
+        low, high, v = (F.col(x) * F.col("_scale") for x in ("low", "high", "v"))
+        at = F.least(F.lit(bins - 1).cast("long"), F.floor((v - low) / (high - low) * bins))
+        binned = open_.groupBy(group, at.alias("bin")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bin_low"), F.max("v").alias("bin_high"))
+        # as many rows to a group as bins
         above = F.coalesce(F.sum("c").over(Window.partitionBy(group).orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         hit = binned.withColumn("_above", above).join(state.select(group, "n", "need"), group).filter("_above < need and need <= _above + c")
         zoomed = hit.select(group, "n", F.col("bin_low").alias("low"), F.col("bin_high").alias("high"), (F.col("need") - F.col("_above")).alias("need"))
-        state = stored(state.filter("low >= high").select(group, "n", "low", "high", "need").unionByName(zoomed))
+        after = stored(state.filter("low >= high").select(group, "n", "low", "high", "need").unionByName(zoomed))
+        free(state)
+        state = after
     return state.select(group, F.col("low").alias("cutoff"), F.col("n").alias("n_scored"))
 
 

@@ -77,7 +77,11 @@ def test_percentile_query(spark, tables):
 def test_cap(spark, cap):
     pick = random.Random(cap)
     rows = [("hot" if i % 3 == 0 else pick.choice(["a", "b", None]), pick.choice([None, NAN, 1.0, 2.0, 2.5]), i, "clash") for i in range(300)]
-    found = {r.i for r in ranking.over_cap(spark.createDataFrame(rows, "who string, q double, i long, rank string"), "who", "q", "i", cap).collect()}
+    df = spark.createDataFrame(rows, "who string, q double, i long, rank string")
+    # salts of a few rows: they drop less before the last ranking, or nothing
+    sides = [ranking.capped(df, "who", "q", "i", cap, salt_rows) for salt_rows in (1000, 20)]
+    found, same = ({r.i for r in left_out.collect()} for _, left_out in sides)
+    assert found == same and sorted(r.i for r in sides[1][0].collect()) == sorted(set(range(300)) - found)
     want = set()
     for who in ("hot", "a", "b"):
         own = sorted((r for r in rows if r[0] == who), key=lambda r: (r[1] is None or math.isnan(r[1]), -(r[1] or 0) if r[1] is not None and not math.isnan(r[1]) else 0, r[2]))
@@ -156,3 +160,32 @@ def test_empty_tables(spark, tables, common_voice):
     common_voice()
     for q in ("p2_percentiles", "p2_summaries", "p2_combined", "p3_found", "p3_kept", "p4_found", "p4_cutoffs", "p5_ranking"):
         assert getattr(ranking, q)(spark, d).count() == 0
+
+
+def test_half_of_the_rows_tied(spark):
+    """A value that half of the rows share is one row of the sort."""
+    rows = [("g", 0.0 if i % 2 else float(i % 50)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, value double")
+    assert ranking.counted(df, ["g"]).count() == 25
+    found = {r.percent: r.value for r in ranking.percentiles(df, ["g"], [10, 50, 75, 99]).collect()}
+    assert found == {p: pytest.approx(np.percentile([v for _, v in rows], p)) for p in found}
+    points = ranking.summaries(df, ["g"], 0.01).collect()
+    assert sum(r.weight for r in points) == 4000 and sum(r.weight for r in points if r.value == 0.0) >= 2000 and len(points) == 100
+
+
+@pytest.mark.parametrize("bins", [2, 1024])
+def test_cutoffs_of_infinite_and_tiny_scores(spark, bins):
+    inf, tiny = math.inf, 5e-324
+    groups = {
+        "mostly top": [inf] * 9 + [1.0], "some top": [inf, inf, 3.0, 2.0, 1.0], "mostly bottom": [1.0] + [-inf] * 9, "ends": [inf, -inf], "only": [-inf] * 3,
+        "denormal": [tiny, 2 * tiny, 2 * tiny, 3 * tiny, 9 * tiny], "beside": [1.0, math.nextafter(1.0, 2.0), math.nextafter(1.0, 0.0)] * 2, "wide": [-1.7e308, 1.7e308, 0.0, tiny, -tiny], "signs": [-tiny, 0.0, tiny],
+    }
+    rows = [(g, x) for g, xs in groups.items() for x in xs]
+    found = {r.s: r.cutoff for r in ranking.cutoffs(spark.createDataFrame(rows, "s string, x double"), "s", "x", bins=bins).collect()}
+    assert found == {g: cutoff_of(xs) for g, xs in groups.items()}
+
+
+def test_kept_and_left_out_with_repeated_and_null_identifiers(spark):
+    rows = [("a", 1.0, 7)] * 5 + [("a", 2.0, None)] * 3 + [(None, 1.0, 7)]
+    kept, left_out = ranking.capped(spark.createDataFrame(rows, "who string, q double, i long"), "who", "q", "i", 4)
+    assert sorted(r.i or 0 for r in kept.collect()) == [0, 0, 0, 7, 7] and [r.i for r in left_out.collect()] == [7] * 4
