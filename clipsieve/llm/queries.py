@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "p4_cutoffs": ranking.p4_cutoffs,
         "p5_ranking": ranking.p5_ranking,
         "p6_found": overlap.p6_found,
+        "p6_links": overlap.p6_links,
         "p6_report": overlap.p6_report,
         "p7_found": textform.p7_found,
         "p7_normalised": textform.p7_normalised,

@@ -345,7 +345,7 @@ def fit_form(*texts: DataFrame) -> Form:
         return Form(codes)
     pairs = often.mapInArrow(_twins(Form(codes)), "word string, twin string, n long")
     cyrillic = usage.filter("kind = 'y'").select(F.col("item").alias("twin"), F.col("n").alias("uses"))
-    latin = stored(pairs.join(cyrillic, "twin", "left").filter(F.col("n") > F.coalesce("uses", F.lit(0))).select("word"))
+    latin = stored(pairs.join(cyrillic.hint("merge"), "twin", "left").filter(F.col("n") > F.coalesce("uses", F.lit(0))).select("word"))
     if latin.count() <= BROADCAST_WORDS:
         return Form(codes, [r.word for r in latin.collect()])
     form = Form(codes)
