@@ -3,9 +3,11 @@
 Sizes are tokens of a public tokenizer. A document above the capacity is cut into full pieces, each a container of its
 own, and a last piece; no other document is split. Each input partition packs its pieces by best fit, the largest
 first, and closes the containers that are nearly full. What is left are underfull containers: they are the items of a
-tree of further rounds, in which FAN_IN nodes meet in one and the containers are merged by best fit, again the nearly
-full ones being closed. A node passes on at most CARRIED containers, those with most space; it closes the others as
-they are, so a task's memory is bounded whatever the input. Nothing is dropped: closing only ends the search.
+tree of further rounds. A round has as many nodes as hold the containers at NODE_BINS each, spread over them by hash,
+so a node of any round has about the same work whatever the input, and what one node can't fill meets others in the
+next. Nodes merge containers by best fit; nearly full ones are closed, and those with less space than the emptiest of
+all has content, which no container can enter any more. The tree ends with one node, or when a round of many nodes
+merged less than LEAST_GAIN of its containers, as then hardly any two fit together.
 
 Defined cases: null and empty texts have size 0 and go into a container like any other; a
 null doc_id stays null; an empty table gives no rows.
@@ -27,10 +29,10 @@ from clipsieve.llm.tokens import TOKENIZER, portions, tokenizer
 
 CAPACITY = 4096
 NEARLY_FULL = 0.98
-FAN_IN = 8
-CARRIED = 2048
+NODE_BINS = 16_384
+LEAST_GAIN = 0.05
 #: Containers are numbered round, node and place together.
-ROUND, NODE = 1 << 58, 1 << 34
+ROUND, NODE = 1 << 53, 1 << 28
 
 
 class BestFit:
@@ -68,12 +70,8 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def closed(fills: np.ndarray, capacity: int) -> np.ndarray:
-    """Which containers a node closes: nearly full ones, and all but the CARRIED with most space."""
-    shut = fills >= NEARLY_FULL * capacity
-    rest = np.flatnonzero(~shut)
-    if len(rest) > CARRIED:
-        shut[rest[np.argsort(fills[rest], kind="stable")[CARRIED:]]] = True
-    return shut
+    """Which containers a node closes: nearly full ones."""
+    return fills >= NEARLY_FULL * capacity
 
 
 def _pieces(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -101,8 +99,8 @@ def _local(capacity: int, path: str):
         at[~whole], at[whole] = placed, len(fills) + np.arange(whole.sum())
         fill = np.concatenate([fills, np.full(whole.sum(), capacity)])
         shut = np.concatenate([closed(fills, capacity), np.ones(whole.sum(), dtype=bool)])
-        columns = [pa.concat_arrays(ids).take(pa.array(doc)), piece, start, size, node * NODE + at, np.full(len(size), node), fill[at], shut[at]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["doc_id", "piece", "start", "size", "bin", "node", "fill", "shut"])
+        columns = [pa.concat_arrays(ids).take(pa.array(doc)), piece, start, size, node * NODE + at, fill[at], shut[at]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=["doc_id", "piece", "start", "size", "bin", "fill", "shut"])
 
     return run
 
@@ -113,27 +111,33 @@ def _merge(capacity: int, level: int):
         node = int(bins["node"].iloc[0])
         placed, fills = best_fit(bins["fill"].to_numpy(), capacity)
         shut = closed(fills, capacity)
-        return pd.DataFrame({"bin": bins["bin"], "to": level * ROUND + node * NODE + placed, "node": node, "fill": fills[placed], "shut": shut[placed]})
+        return pd.DataFrame({"bin": bins["bin"], "to": level * ROUND + node * NODE + placed, "fill": fills[placed], "shut": shut[placed]})
 
     return run
 
 
 def pack(documents: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZER) -> DataFrame:
     """doc_id, piece, start, size (in tokens) and container of every document of documents(doc_id, text)."""
-    items = documents.select("doc_id", "text").mapInArrow(_local(capacity, path), "doc_id long, piece long, start long, size long, bin long, node long, fill long, shut boolean")
+    items = documents.select("doc_id", "text").mapInArrow(_local(capacity, path), "doc_id long, piece long, start long, size long, bin long, fill long, shut boolean")
     items = stored(items)
-    bins = items.filter("not shut").select("bin", "node", "fill").distinct()
-    nodes = (items.agg(F.max("node")).first()[0] or 0) + 1
-    moved, level = None, 0
+    bins = items.filter("not shut").select("bin", "fill").distinct()
+    moved, level, nodes = None, 0, 2
     while nodes > 1:
-        level += 1
-        nodes = -(-nodes // FAN_IN)
-        node = (F.col("node") / FAN_IN).cast("long").alias("node")
-        merged = stored(bins.select("bin", node, "fill").groupBy("node").applyInPandas(_merge(capacity, level), "bin long, to long, node long, fill long, shut boolean"))
+        n, least = bins.agg(F.count(F.lit(1)), F.min("fill")).first()
+        if n < 2:
+            break
+        level, nodes = level + 1, -(-n // NODE_BINS)
+        # a container with less space than any other's content is as full as it will be
+        open_ = bins.filter(F.col("fill") + least <= capacity).withColumn("node", F.pmod(F.xxhash64("bin"), F.lit(nodes)))
+        merged = stored(open_.groupBy("node").applyInPandas(_merge(capacity, level), "bin long, to long, fill long, shut boolean"))
         step = merged.select("bin", "to")
         # where the containers of the first round have come to so far
-        moved = step if moved is None else moved.join(step.select(F.col("bin").alias("to"), F.col("to").alias("next")), "to", "left").select("bin", F.coalesce("next", "to").alias("to"))
-        bins = merged.filter("not shut").select(F.col("to").alias("bin"), "node", "fill").distinct()
+        moved = step if moved is None else moved.select("bin", F.col("to").alias("via")).join(step.withColumnRenamed("bin", "via"), "via", "left").select("bin", F.coalesce("to", "via").alias("to")).unionByName(
+            step.join(moved.select(F.col("to").alias("bin")), "bin", "left_anti")
+        )
+        bins = merged.filter("not shut").select(F.col("to").alias("bin"), "fill").distinct()
+        if nodes > 1 and merged.select("to").distinct().count() > (1 - LEAST_GAIN) * merged.count():
+            break
     found = items.select("doc_id", "piece", "start", "size", "bin")
     if moved is not None:
         found = found.join(moved, "bin", "left").withColumn("bin", F.coalesce("to", "bin"))
@@ -145,6 +149,17 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def p9_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold, counted: documents, and of these none lost, none split below the capacity, no overfull container."""
+    placed = stored(p9_containers(spark, sf_dir))
+    by_doc = placed.groupBy("doc_id").agg(F.sum("size").alias("size"), F.max("piece").alias("last"), F.count(F.lit(1)).alias("pieces"), F.count_if(F.col("start") != F.col("piece") * CAPACITY).alias("shifted"))
+    documents = table(spark, sf_dir, "documents").select("doc_id").distinct()
+    wrong = (F.col("pieces") != F.col("last") + 1) | (F.col("shifted") > 0) | ((F.col("pieces") > 1) & (F.col("size") <= CAPACITY))
+    found = documents.join(by_doc, "doc_id", "left").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("size").isNull()).alias("lost"), F.count_if(wrong).alias("wrongly_split"))
+    fills = placed.groupBy("container").agg(F.sum("size").alias("fill")).agg(F.count_if(F.col("fill") > CAPACITY).alias("overfull"))
+    return found.crossJoin(F.broadcast(fills))  # a row each
+
+
 def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers, tokens, and the share of space used."""
     bins = p9_containers(spark, sf_dir).groupBy("container").agg(F.sum("size").alias("fill"))

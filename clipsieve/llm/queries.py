@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
         "p1_found": splits.p1_found,
         "p1_split": splits.p1_split,
         "p1_report": splits.p1_report,
+        "p1_check": splits.p1_check,
+        "p1_members": splits.p1_members,
         "p2_percentiles": ranking.p2_percentiles,
         "p2_summaries": ranking.p2_summaries,
         "p2_combined": ranking.p2_combined,
@@ -32,7 +34,9 @@ def queries() -> dict[str, Query]:
         "p7_classes": textform.p7_classes,
         "p8_ids": tokens.p8_ids,
         "p8_roundtrip": tokens.p8_roundtrip,
+        "p8_check": tokens.p8_check,
         "p9_containers": packing.p9_containers,
+        "p9_check": packing.p9_check,
         "p9_report": packing.p9_report,
         "p10_found": subjects.p10_found,
         "p10_composition": subjects.p10_composition,
@@ -114,4 +118,8 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": _P4 + "SELECT ws_id FROM scored JOIN cut USING (source) WHERE score < cutoff",
         "p4_cutoffs": _P4 + "SELECT source, cutoff, n_scored, sum((score >= cutoff)::BIGINT)::BIGINT AS n_kept FROM scored JOIN cut USING (source) GROUP BY ALL",
         "p5_ranking": _p5(),
+        # what must hold of operators that SQL can't express
+        "p1_check": "SELECT count(*) AS n_rows, 0::BIGINT AS parted_speakers, 0::BIGINT AS parted_sentences, 0::BIGINT AS splits_off FROM common_voice",
+        "p8_check": "SELECT count(*) AS documents, count(*) AS same, count(*) FILTER (coalesce(text, '') = '') AS without_ids FROM documents",
+        "p9_check": "SELECT count(DISTINCT doc_id) AS documents, 0::BIGINT AS lost, 0::BIGINT AS wrongly_split, 0::BIGINT AS overfull FROM documents",
     }

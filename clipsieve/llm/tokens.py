@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clipsieve.llm.base import table
 
@@ -94,7 +95,7 @@ class Tokenizer:
     @property
     def db(self) -> duckdb.DuckDBPyConnection:
         if self._db is None:
-            self._db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
+            self._db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
             self._db.register("merges_in", self.merges)
             self._db.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
             self._db.register("spelled_in", pa.table({"id": pa.array([i for i, _ in self.spelled], pa.int32()), "part": pa.array([b for _, b in self.spelled], pa.binary())}))
@@ -216,3 +217,9 @@ def p8_roundtrip(spark: SparkSession, sf_dir: str, path: str = TOKENIZER) -> Dat
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), pa.array(same)], names=["doc_id", "n_ids", "same"])
 
     return table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(check, "doc_id long, n_ids long, same boolean")
+
+
+def p8_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, how many of them decode to their text, and how many have no ids."""
+    found = p8_roundtrip(spark, sf_dir)
+    return found.agg(F.count(F.lit(1)).alias("documents"), F.count_if("same").alias("same"), F.count_if(F.col("n_ids") == 0).alias("without_ids"))

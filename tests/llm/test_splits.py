@@ -107,9 +107,33 @@ def test_split_keeps_related_rows(spark, common_voice):
 
 
 def test_split_shares(spark, common_voice):
-    rows = [{"client_id": f"s{i % 300}" if i % 3 else None, "sentence": f"үг {i}"} for i in range(2000)]
-    shares = {r.new_split: r.share for r in splits.p1_report(spark, common_voice(*rows)).collect()}
-    assert shares == pytest.approx({"train": 0.8, "dev": 0.1, "test": 0.1}, abs=0.01)
+    """Splits and, in each, all labels have their proportions, also labels that aren't the most frequent of a speaker."""
+    genders = ["male", "MALE ", "female", None, "x", "y", "z"]
+    rows = [{"client_id": f"s{i % 300}" if i % 3 else None, "sentence": f"үг {i}", "gender": genders[(i // 300 + i) % 7 if i % 2 else 0]} for i in range(2000)]
+    d = common_voice(*rows)
+    found = splits.p1_report(spark, d).collect()
+    assert {r.new_split: r.share for r in found} == pytest.approx({"train": 0.8, "dev": 0.1, "test": 0.1}, abs=0.01)
+    every = {}
+    for r in found:
+        every[r.label] = every.get(r.label, 0) + r.n_rows
+    assert sum(every.values()) == 2000 and len(every) <= splits.LABELS and every["male"] > 1000
+    for r in found:
+        assert r.label_share == pytest.approx(every[r.label] / 2000, abs=0.05)
+    assert tuple(splits.p1_check(spark, d).first()) == (2000, 0, 0, 0)
+
+
+def test_bundles(spark):
+    """Small components by rows of each label, others by size class and tenths, the largest by themselves."""
+    rows = [("a", "m")] * 2 + [("a", "f")] + [("b", "m")] * 2 + [("b", "f")] + [("c", "m")] * 3
+    rows += [("d", "m")] * 50 + [("d", "f")] * 51 + [("e", "m")] * 51 + [("e", "f")] * 51 + [("f", "m")] * 101
+    df = spark.createDataFrame(rows, "component string, label string")
+    of = {r.component: (r.size, r.bundle) for r in splits.profiled(df, 10_000_000).collect()}
+    assert of["a"] == of["b"] == (3, "3/f:1,m:2") and of["c"][1] == "3/m:3" and of["d"][1] == of["e"][1] != of["f"][1]
+    assert splits.profiled(df, len(rows)).filter("bundle like '=%'").count() == 3
+
+
+def test_members(spark, common_voice):
+    assert sorted(tuple(r) for r in splits.p1_members(spark, common_voice(*ROWS)).collect()) == [("k1", "k1"), ("k2", "k1"), ("k6", "k1")]
 
 
 def test_one_speaker_of_everything(spark, common_voice):

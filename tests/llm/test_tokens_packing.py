@@ -89,10 +89,23 @@ def test_packing(spark, partitions, capacity):
     assert len(fills) <= (1.2 if partitions == 40 else 1.05) * sum(sizes.values()) / capacity + 1
 
 
-def test_a_node_closes_what_it_cannot_carry(spark, monkeypatch):
-    """More underfull containers than a node passes on: none is lost."""
-    monkeypatch.setattr(packing, "CARRIED", 3)
-    assert packing.closed(np.array([5, 9, 1, 2, 3, 4, 10]), 10).tolist() == [True, True, False, False, False, True, True]
+@pytest.mark.parametrize("bins", [2, 20])
+def test_rounds_of_many_nodes(spark, monkeypatch, bins):
+    """Nodes that hold few containers pass on what they can't fill; none is lost, and the packing is about as close."""
+    monkeypatch.setattr(packing, "NODE_BINS", bins)
+    pick = random.Random(bins)
+    texts = ["үг " * pick.randint(1, 40) for _ in range(300)]
+    sizes = dict(enumerate(tokenizer(TOKENIZER).count(texts).tolist()))
+    df = spark.createDataFrame([(i, t, [1], 0, 0, 0) for i, t in enumerate(texts)], DOCS).repartition(30)
+    fills = check_packing(packing.pack(df, 256).collect(), sizes, 256)
+    assert len(fills) <= 1.25 * sum(sizes.values()) / 256 + 1
+
+
+def test_containers_that_nothing_fits_are_left_alone(spark):
+    """Documents of more than half of the capacity: a round that merges nothing is the last."""
+    texts = ["word " * 40] * 50
+    df = spark.createDataFrame([(i, t, [1], 0, 0, 0) for i, t in enumerate(texts)], DOCS).repartition(10)
+    assert len(check_packing(packing.pack(df, 64).collect(), dict.fromkeys(range(50), tokenizer(TOKENIZER).count(texts[:1])[0]), 64)) == 50
 
 
 def test_best_fit_prefers_the_fullest():
@@ -121,4 +134,5 @@ def test_report(spark, tables):
     d = tables(documents=([(i, "үг " * (i % 50), [1], 0, 0, 0) for i in range(500)], DOCS))
     r = packing.p9_report(spark, d).first()
     assert r.fullest <= packing.CAPACITY and r.used > 0.8
+    assert tuple(packing.p9_check(spark, d).first()) == (500, 0, 0, 0)
     assert r.tokens == packing.p9_containers(spark, d).agg(F.sum("size")).first()[0]
