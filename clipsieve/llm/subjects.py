@@ -3,17 +3,17 @@
 Documents are the nodes. People's labels are the seeds. A hop has three steps. Terms that are characteristic of one
 subject are found from the documents labelled so far: enough of a term's labelled documents have the subject, and more
 than chance would give. They are the rare terms through which documents are sought, so common words, words of several
-subjects and one-off words lead nowhere. Then each subject's landmarks are chosen: LANDMARKS documents that have its label, out of
-a pool of POOL, trusted seeds first, so that they together have its terms. Every document that shares terms with a landmark is a
-candidate, and the pair is verified: the exact similarity of the two, the share of the subject's terms of the one with
-fewer that both have, must reach LEAST_SIMILARITY. Over verified edges the landmark's label goes to the document. In the
+subjects and one-off words lead nowhere. Every other document that has a subject's label and shares terms with a document is
+a candidate, and the pair is verified: the exact similarity of the two, the share of the subject's terms of the one with
+fewer that both have, must reach LEAST_SIMILARITY. Over a verified edge the label goes to the document. In the
 next hop every document passes on what it has received, except that trusted seeds (a subject named by two annotators or
 more and not contradicted) keep their labels, in every hop and in the result. Hops go on until one changes at most one
 in STILL labels: near the limits single documents may change back and forth for ever.
 
-The number of landmarks is a fixed bound, so a document has at most LANDMARKS edges to a subject however large the
-corpus is; everything else, terms, candidates and decisions, covers all documents. All edges of all documents would be
-quadratic in the documents of a subject, and say nothing else, since landmarks have most of its terms.
+One edge is enough, so they are not all sought, which would be quadratic in the documents of a subject. First come each
+subject's landmarks: LANDMARKS documents that have its label, out of a pool of POOL, trusted seeds first, so that they
+together have its terms; edges to them are found in one pass. Documents that no landmark reaches go on to all others
+that have the label, until one verifies the edge or all have been tried. So landmarks and pool save work, and decide nothing.
 
 A document keeps every subject that fills enough of it: at least LEAST_DENSITY of its words and LEAST_SHARE of its
 words of any subject. A section of a third of a document has about a third of its subject words, a passing mention
@@ -47,6 +47,8 @@ LANDMARKS, LANES = 32, 4
 #: Documents of a subject out of which they are chosen, and how many of them shall have each term.
 POOL, COVERED = 500, 3
 LEAST_SIMILARITY = 0.25
+#: What no landmark reaches is compared with about so many labelled documents, then with GROWTH times as many, up to all.
+TRIED, GROWTH = 20_000, 8
 #: Labels settle after some four hops; a run that hasn't by then warns.
 MOST_HOPS = 50
 #: Labels have settled when a hop changes at most one in so many.
@@ -180,7 +182,7 @@ def landmarks(documents: DataFrame, terms: DataFrame, some: DataFrame) -> DataFr
 
 
 def marked(documents: DataFrame, terms: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The terms with which landmarks have each, and (subject, sizes): how many terms of its subject each landmark has.
+    """All terms with which landmarks have each, and (subject, sizes): how many terms of its subject each landmark has.
 
     A landmark has a lane of 16 bits in one of the numbers _m0, _m1 and so on, 1 if it has the term; so sums over a
     document's terms count the terms it shares with every landmark, in one pass.
@@ -192,21 +194,58 @@ def marked(documents: DataFrame, terms: DataFrame, marks: DataFrame) -> tuple[Da
     held = has.groupBy("term").agg(*lanes)
     sizes = has.groupBy("subject", "mark").agg(F.count(F.lit(1)).alias("n")).groupBy("subject").agg(F.map_from_entries(F.collect_list(F.struct("mark", "n"))).alias("_by_mark"))
     known = sizes.select("subject", *(F.coalesce(F.try_element_at("_by_mark", F.lit(k)), F.lit(0)).alias(f"_s{k}") for k in range(LANDMARKS)))
-    return stored(terms.join(held.hint("merge"), "term")), stored(known)
+    return stored(terms.join(held.hint("merge"), "term", "left")), stored(known)
 
 
-def reached(documents: DataFrame, terms: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(doc_id, words, subject, n): how many words of each subject a document has, for subjects of which a verified edge joins it to a landmark."""
+def partnered(documents: DataFrame, terms: DataFrame, asked: DataFrame, partners: DataFrame) -> DataFrame:
+    """The rows (doc_id, subject, _own) of ``asked`` that a verified edge joins to any of ``partners``, in the same columns, labelled with the subject.
+
+    Exact, in two steps. A partner with so few terms that one in common is enough settles all documents that have any
+    of its terms, so two such partners are kept for each term. The others are compared with the partners that share a
+    term, portion after portion, and only those that none has verified go on to the next; the last one ends the partners.
+    """
+    met = _met(documents, terms.select("term", "subject")).select("doc_id", "subject", "term")
+    mine, theirs = (stored(met.join(rows.hint("merge"), ["doc_id", "subject"])) for rows in (asked, partners))
+    short = theirs.filter(F.col("_own") * LEAST_SIMILARITY <= 1).groupBy("subject", "term").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
+    other = (F.col("_first") != F.col("doc_id")) | (F.col("_last") != F.col("doc_id"))
+    done = stored(mine.join(short.hint("merge"), ["subject", "term"]).filter(other).select("doc_id", "subject", "_own").distinct())
+    left = stored(mine.join(done.hint("merge"), ["doc_id", "subject"], "left_anti"))
+    theirs = theirs.select(F.col("doc_id").alias("_partner"), "subject", "term", F.col("_own").alias("_theirs"))
+    # portions of the partners by hash, out of 2^20
+    every, upto = 1 << 20, 0
+    step = max(1, every * TRIED // max(1, partners.count()))
+    while upto < every and left.count():
+        last, upto, step = upto, min(every, upto + step), step * GROWTH
+        at = F.pmod(F.xxhash64("_partner"), F.lit(every))
+        shared = left.join(theirs.filter((at >= last) & (at < upto)).hint("merge"), ["subject", "term"]).filter("doc_id != _partner")
+        common = shared.groupBy("doc_id", "subject", "_own", "_partner", "_theirs").agg(F.count(F.lit(1)).alias("n"))
+        found = stored(common.filter(F.col("n") >= F.least("_own", "_theirs") * LEAST_SIMILARITY).select("doc_id", "subject", "_own").distinct())
+        done = done.unionByName(found)
+        if upto < every:
+            left = stored(left.join(found.hint("merge"), ["doc_id", "subject"], "left_anti"))
+    return done
+
+
+def reached(documents: DataFrame, terms: DataFrame, sizes: DataFrame, marks: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, words, subject, n): how many words of each subject a document has, for subjects of which a verified edge joins it to another document labelled (doc_id, subject)."""
     sums = [F.sum(f"_m{i}").alias(f"_m{i}") for i in range(LANDMARKS // LANES)]
     shared = _met(documents, terms).groupBy("doc_id", "words", "subject").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("_own"), *sums)
-    # a row for each subject
-    edges = shared.join(F.broadcast(sizes), "subject")
+    # a row for each subject, and LANDMARKS for each
+    edges = shared.join(F.broadcast(sizes), "subject", "left").join(F.broadcast(marks), ["doc_id", "subject"], "left")
 
     def verified(k: int) -> Column:
         common = F.shiftrightunsigned(f"_m{k // LANES}", k % LANES * 16).bitwiseAND(0xFFFF)
-        return (common > 0) & (common >= F.least("_own", f"_s{k}") * LEAST_SIMILARITY)
+        return (common > 0) & (common >= F.least("_own", f"_s{k}") * LEAST_SIMILARITY) & (F.coalesce("mark", F.lit(-1)) != k)
 
-    return edges.filter(reduce(lambda a, b: a | b, [verified(k) for k in range(LANDMARKS)])).select("doc_id", "words", "subject", "n")
+    # three labelled documents or more have a term and its subject (verified_terms), so others share it where one in common is enough
+    sure = reduce(lambda a, b: a | b, [verified(k) for k in range(LANDMARKS)], F.col("_own") * LEAST_SIMILARITY <= 1)
+    rows = stored(edges.select("doc_id", "words", "subject", "n", "_own", F.coalesce(sure, F.lit(False)).alias("_sure")))
+    scored, asked = rows.select("doc_id", "words", "subject", "n"), rows.filter("not _sure").select("doc_id", "subject", "_own")
+    if not asked.count():
+        return scored
+    partners = stored(rows.select("doc_id", "subject", "_own").join(labels.select("doc_id", "subject").hint("merge"), ["doc_id", "subject"]))
+    late = partnered(documents, terms, asked, partners).select("doc_id", "subject")
+    return scored.join(asked.join(late.hint("merge"), ["doc_id", "subject"], "left_anti").hint("merge"), ["doc_id", "subject"], "left_anti")
 
 
 def decide(scored: DataFrame) -> DataFrame:
@@ -244,8 +283,9 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame) -> DataF
         # equal terms find equal subjects
         if last_terms is not None and settled(terms.select("term", "subject"), last_terms.select("term", "subject")):
             break
-        held, sizes = marked(stems, terms, landmarks(stems, terms, stored(pool(now, trusted))))
-        last, found = found, stored(decide(reached(stems, held, sizes)))
+        marks = landmarks(stems, terms, stored(pool(now, trusted)))
+        held, sizes = marked(stems, terms, marks)
+        last, found = found, stored(decide(reached(stems, held, sizes, marks, now)))
         if last is not None and settled(found.select("doc_id", "subject"), last.select("doc_id", "subject")):
             break
         received = found.select("doc_id", "subject", F.lit(1.0).alias("weight"))

@@ -133,6 +133,36 @@ def test_terms_beyond_the_broadcast_limit(spark, tables, corpus, monkeypatch):
     assert {tuple(r) for r in subjects.p10_found(spark, d).collect()} == want
 
 
+def test_every_labelled_document_is_a_partner(spark, tables):
+    """Words of a subject that none of its pool has: 520 trusted documents fill it, and ten with a label of one annotator have words of their own."""
+    other = [f"{c}{v}рчлэл" for c in "бгджз" for v in "аэ"]
+    filler = [f"дунд{c}" for c in "авгдежз"] * 2
+    docs = [(i, " ".join(WORDS["law"] + filler), "", 0, 0, "") for i in range(520)] + [(1000 + i, " ".join(filler), "", 0, 0, "") for i in range(520)]
+    docs += [(2000 + i, " ".join(other + filler), "", 0, 0, "") for i in range(20)] + [(3000 + i, " ".join(other[i : i + 2] + filler), "", 0, 0, "") for i in range(5)]
+    said = [(i, "law", who) for i in range(520) for who in "ab"] + [(1000 + i, None, "a") for i in range(520)] + [(2000 + i, "law", "a") for i in range(10)]
+    d = tables(documents=(docs, DOCS), doc_subject_labels=([(n, *x) for n, x in enumerate(said)], LABELS), subject_area=(AREAS, "subject string, title string"))
+    found = {tuple(r) for r in subjects.p10_found(spark, d).collect()}
+    assert found == {(i, "law") for i in (*range(520), *range(2000, 2020), *range(3000, 3005))}
+
+
+@pytest.mark.parametrize("tried", [1, 10, 20_000])
+def test_partners(spark, monkeypatch, tried):
+    """As comparing all pairs, with partners in many portions and in one."""
+    monkeypatch.setattr(subjects, "TRIED", tried)
+    monkeypatch.setattr(subjects, "GROWTH", 2)
+    pick = random.Random(11)
+    terms = [f"t{i}" for i in range(300)]
+    own = {i: set(pick.sample(terms, pick.choice([6, 9, 12, 20]) if i % 20 else 4)) for i in range(60)}
+    own[60] = own[1] = {*terms[:3], "u1", "u2", "u3", "u4", "u5"}
+    labelled = {i for i in range(50)} | {60}
+    stems = spark.createDataFrame([(i, sorted(t), [1] * len(t), 50) for i, t in own.items()], "doc_id long, terms array<string>, counts array<int>, words int")
+    known = spark.createDataFrame([(t, "law", 1.0) for t in [*terms, "u1", "u2", "u3", "u4", "u5"]], "term string, subject string, purity double")
+    rows = spark.createDataFrame([(i, "law", len(t)) for i, t in own.items()], "doc_id long, subject string, _own long")
+    found = [r.doc_id for r in subjects.partnered(stems, known, rows, rows.filter(rows.doc_id.isin(labelled))).collect()]
+    want = {d for d, a in own.items() if any(d != e and len(a & own[e]) >= max(1, min(len(a), len(own[e])) / 4) for e in labelled)}
+    assert sorted(found) == sorted(want) and 0 < len(want) < len(own)
+
+
 def test_empty(spark, tables):
     none = dict(documents=([], DOCS), doc_subject_labels=([], LABELS), subject_area=([], "subject string, title string"))
     assert subjects.p10_found(spark, tables(**none)).count() == 0
