@@ -48,7 +48,7 @@ LANDMARKS, LANES = 32, 4
 POOL, COVERED = 500, 3
 LEAST_SIMILARITY = 0.25
 #: What no landmark reaches is compared with about so many labelled documents, then with GROWTH times as many, up to all.
-TRIED, GROWTH = 20_000, 8
+TRIED, GROWTH = 200, 8
 #: Labels settle after some four hops; a run that hasn't by then warns.
 MOST_HOPS = 50
 #: Labels have settled when a hop changes at most one in so many.
